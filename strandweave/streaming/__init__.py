@@ -1,0 +1 @@
+"""Intentionally empty: the capability set has no stream operators."""
