@@ -66,14 +66,19 @@ def _indels(ploidy: int) -> list[str]:
     sums = [f"((dp - ad) * {t[k]} + ad * {t[ploidy - k]})" for k in range(ploidy + 1)]
     qual, _, gt = _model(sums, INDEL_THETA, ploidy)
     return [
-        """indel_ad AS (SELECT g.contig_idx, g.contig, CAST(g.pos0 + g.a AS INT) pos, count(*) ad
-             FROM alignments g WHERE gapped GROUP BY ALL)""",
-        """indel_dp AS (SELECT i.contig_idx, i.contig, i.pos, i.ad, count(*) dp FROM indel_ad i
+        """ins_seq AS (SELECT fid, mate, string_agg(base, '' ORDER BY i) ins FROM bases1 WHERE rpos IS NULL GROUP BY ALL)""",
+        """indel_seen AS (SELECT g.contig_idx, g.contig, CAST(g.pos0 + g.a AS INT) pos, k.ref,
+             CASE WHEN deletes THEN k.alt ELSE k.ref || s.ins END alt
+             FROM alignments g JOIN known_indels k ON k.contig_idx = g.contig_idx AND k.pos = g.pos0 + g.a
+             LEFT JOIN ins_seq s ON s.fid = g.fid AND s.mate = g.mate WHERE gapped)""",
+        """indel_ad AS (SELECT contig_idx, contig, pos, ref, alt, ad FROM (
+             SELECT *, row_number() OVER (PARTITION BY contig_idx, pos ORDER BY ad DESC, ref, alt) rk
+             FROM (SELECT contig_idx, contig, pos, ref, alt, count(*) ad FROM indel_seen GROUP BY ALL)) WHERE rk = 1)""",
+        """indel_dp AS (SELECT i.contig_idx, i.contig, i.pos, i.ref, i.alt, i.ad, count(*) dp FROM indel_ad i
              JOIN alignments b ON b.contig_idx = i.contig_idx AND b.pos <= i.pos AND b.ref_end > i.pos GROUP BY ALL)""",
         f"""indels AS (SELECT * FROM (
-             SELECT d.contig_idx, d.contig, d.pos, k.ref, k.alt, {qual} qual, {gt} gt, dp, ad
-             FROM indel_dp d JOIN known_indels k ON k.contig_idx = d.contig_idx AND k.pos = d.pos
-             WHERE ad >= dp * 0.1) WHERE qual >= 30)""",
+             SELECT contig_idx, contig, pos, ref, alt, {qual} qual, {gt} gt, dp, ad
+             FROM indel_dp WHERE ad >= dp * 0.1) WHERE qual >= 30)""",
     ]
 
 

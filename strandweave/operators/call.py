@@ -29,27 +29,31 @@ def log_priors(ploidy: int, theta: float) -> list[float]:
     return [math.log10(1 - sum(some))] + [math.log10(p) for p in some]
 
 
-def _log_sum(values: list[Column]) -> Column:
-    top = F.greatest(*values)
-    return top + F.log10(sum((F.pow(F.lit(10.0), v - top) for v in values[1:]),
-                             F.pow(F.lit(10.0), values[0] - top)))
-
-
-def genotype(df: DataFrame, sums: list[Column], ploidy: int, theta: float) -> DataFrame:
-    """Adds ``qual, ref_qual, gt`` from the likelihood sums (in millionths) per copy number."""
-    priors = log_priors(ploidy, theta)
-    names = [f"_p{k}" for k in range(ploidy + 1)]
-    rows = df.withColumns({n: s / F.lit(float(MICRO)) + F.lit(p) for n, s, p in zip(names, sums, priors)})
-    p = [F.col(n) for n in names]
-    best = F.greatest(*p[1:])
-    copies = F.coalesce(*[F.when(p[k] == best, F.lit(k)) for k in range(1, ploidy + 1)])
-    text = F.array_join(F.concat(F.array_repeat(F.lit("0"), F.lit(ploidy) - copies),
-                                 F.array_repeat(F.lit("1"), copies)), "/")
-    return rows.withColumns({
-        "qual": F.round((_log_sum(p) - p[0]) * 10, 2),
-        "ref_qual": F.round((p[0] - _log_sum(p[1:])) * 10 if ploidy > 1 else (p[0] - p[1]) * 10, 2),
-        "gt": text,
-    }).drop(*names)
+def _log_sum(values: Column) -> Column:
+    return F.array_max(values) + F.log10(
+        F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.pow(F.lit(10.0), v - F.array_max(values))))
+
+
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def genotype(sums: Column, ploidy: int, theta: float) -> Column:
+    """``struct<qual, ref_qual, gt>`` from an array of likelihood sums (millionths) per copy number."""
+    priors = F.lit(log_priors(ploidy, theta))
+    posterior = F.zip_with(sums, priors, lambda s, p: s / F.lit(float(MICRO)) + p)
+
+    def decide(p):
+        rest = F.slice(p, 2, ploidy)
+        copies = F.array_position(rest, F.array_max(rest)).cast("int")
+        text = F.concat(F.array_repeat(F.lit("0"), F.lit(ploidy) - copies), F.array_repeat(F.lit("1"), copies))
+        none = F.get(p, F.lit(0))
+        return F.struct(F.round((_log_sum(p) - none) * 10, 2).alias("qual"),
+                        F.round((none - _log_sum(rest)) * 10, 2).alias("ref_qual"),
+                        F.array_join(text, "/").alias("gt"))
+
+    return _bind(posterior, decide)
 
 
 def locus_sums(pile: DataFrame, ploidy: int, min_base_quality: int = 10) -> DataFrame:
@@ -67,13 +71,6 @@ def locus_sums(pile: DataFrame, ploidy: int, min_base_quality: int = 10) -> Data
     return rows.groupBy(*keys).agg(*aggs)
 
 
-def _of(letter: Column, prefix: str) -> Column:
-    expr = F.lit(0).cast("bigint")
-    for b in LETTERS:
-        expr = F.when(letter == b, F.col(f"{prefix}_{b}")).otherwise(expr)
-    return expr
-
-
 def call_sites(pile: DataFrame, ploidy: int = 2, variable_only: bool = False) -> DataFrame:
     """Every covered locus with genotype, quality and confidence in the reference.
 
@@ -81,24 +78,29 @@ def call_sites(pile: DataFrame, ploidy: int = 2, variable_only: bool = False) ->
     it and the reference letter count towards depth and likelihood.
     """
     sums = locus_sums(pile, ploidy).filter(F.col("ref_base").isin(list(LETTERS)))
-    depth = F.col("n_A") + F.col("n_C") + F.col("n_G") + F.col("n_T")
-    rows = sums.withColumns({"_all": depth, "_nr": _of(F.col("ref_base"), "n")}).filter(F.col("_all") > 0)
-    if variable_only:
-        rows = rows.filter(F.col("_all") > F.col("_nr"))
-    others = {b: F.when(F.col("ref_base") == b, F.lit(0)).otherwise(F.col(f"n_{b}")) for b in LETTERS}
-    rows = rows.withColumn("_top", F.greatest(*others.values()))
-    alt = F.lit(".")
-    for b in reversed(LETTERS):
-        alt = F.when((others[b] == F.col("_top")) & (F.col("_top") > 0), F.lit(b)).otherwise(alt)
-    rows = rows.withColumn("alt", alt)
-    likelihoods = [_of(F.col("ref_base"), f"s{k}") + _of(F.col("alt"), f"s{ploidy - k}") for k in range(ploidy + 1)]
-    rows = genotype(rows, likelihoods, ploidy, SNP_THETA)
-    none = F.col("alt") == "."
+    counts = F.array(*[F.col(f"n_{b}") for b in LETTERS])
+    likelihoods = F.array(*[F.array(*[F.col(f"s{k}_{b}") for k in range(ploidy + 1)]) for b in LETTERS])
+    place = F.instr(F.lit(LETTERS), F.col("ref_base")) - 1
+    rows = sums.select("contig_idx", "contig", "pos", "ref_base", counts.alias("_n"),
+                       likelihoods.alias("_s"), place.alias("_r"))
+    total = F.get("_n", F.lit(0)) + F.get("_n", F.lit(1)) + F.get("_n", F.lit(2)) + F.get("_n", F.lit(3))
+    seen = F.get("_n", F.col("_r"))
+    rows = rows.filter(total > (seen if variable_only else 0))
+    others = F.transform("_n", lambda n, i: F.when(i == F.col("_r"), F.lit(0)).otherwise(n))
+    top = F.array_max(others)
+    rows = rows.withColumn("_a", F.when(top > 0, F.array_position(others, top).cast("int") - 1))
+    nothing = F.array_repeat(F.lit(0).cast("bigint"), ploidy + 1)
+    both = F.zip_with(F.get("_s", F.col("_r")), F.coalesce(F.reverse(F.get("_s", F.col("_a"))), nothing),
+                      lambda x, y: x + y)
+    none = F.col("_a").isNull()
+    rows = rows.withColumn("_g", genotype(both, ploidy, SNP_THETA))
     return rows.select(
-        "contig_idx", "contig", "pos", F.col("ref_base").alias("ref"), "alt",
-        F.when(none, F.lit(0.0)).otherwise(F.col("qual")).alias("qual"), "ref_qual",
-        F.when(none, F.array_join(F.array_repeat(F.lit("0"), ploidy), "/")).otherwise(F.col("gt")).alias("gt"),
-        (F.col("_nr") + F.col("_top")).alias("dp"), F.col("_top").alias("ad"))
+        "contig_idx", "contig", "pos", F.col("ref_base").alias("ref"),
+        F.when(none, ".").otherwise(F.substring(F.lit(LETTERS), F.col("_a") + 1, F.lit(1))).alias("alt"),
+        F.when(none, F.lit(0.0)).otherwise(F.col("_g.qual")).alias("qual"), F.col("_g.ref_qual").alias("ref_qual"),
+        F.when(none, "/".join(["0"] * ploidy)).otherwise(F.col("_g.gt")).alias("gt"),
+        (seen + F.coalesce(F.get("_n", F.col("_a")), F.lit(0))).alias("dp"),
+        F.coalesce(F.get("_n", F.col("_a")), F.lit(0)).alias("ad"))
 
 
 VARIANT = ["contig_idx", "contig", "pos", "ref", "alt", "qual", "gt", "dp", "ad"]
@@ -169,10 +171,11 @@ def call_indels(df: DataFrame, blocks: DataFrame, min_fraction: float = 0.1,
     depth = over.groupBy("contig_idx", F.col("iv_start").alias("pos")).agg(F.count(F.lit(1)).alias("dp"))
     rows = best.join(depth, ["contig_idx", "pos"]).filter(F.col("ad") >= F.col("dp") * min_fraction)
     terms = [t[INDEL_QUALITY] for t in copy_terms(ploidy)]
-    likelihoods = [(F.col("dp") - F.col("ad")) * terms[k] + F.col("ad") * terms[ploidy - k]
-                   for k in range(ploidy + 1)]
-    rows = genotype(rows, likelihoods, ploidy, INDEL_THETA)
-    return rows.filter(F.col("qual") >= conf).select(*VARIANT)
+    likelihoods = F.array(*[(F.col("dp") - F.col("ad")) * terms[k] + F.col("ad") * terms[ploidy - k]
+                            for k in range(ploidy + 1)])
+    rows = rows.withColumn("_g", genotype(likelihoods, ploidy, INDEL_THETA)).select(
+        "contig_idx", "contig", "pos", "ref", "alt", "_g.qual", "_g.gt", "dp", "ad")
+    return rows.filter(F.col("qual") >= conf)
 
 
 def call_both(df: DataFrame, blocks: DataFrame, pile: DataFrame) -> DataFrame:

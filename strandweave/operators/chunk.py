@@ -31,7 +31,7 @@ def header_per_chunk(header: DataFrame, chunked: DataFrame) -> DataFrame:
     last = chunked.agg(F.max("chunk")).first()[0]
     if last is None:
         return header.withColumn("chunk", F.lit(0).cast("bigint")).limit(0)
-    return header.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(last))).cast("bigint"))
+    return header.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint"))))
 
 
 def chunk_by_bytes(df: DataFrame, k: int, keys: list, line: str = "line") -> DataFrame:
