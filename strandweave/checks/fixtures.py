@@ -38,7 +38,10 @@ class Fixture:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _stored:
             path = scaling.scratch_path(self.spark, name)
-            build().write.parquet(path)
+            # a fixed count keeps every core busy even where the bytes are few
+            parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+                        self.spark.sparkContext.defaultParallelism)
+            build(parts).write.parquet(path)
             _stored[key] = path
         return self.spark.read.parquet(_stored[key])
 
@@ -47,9 +50,9 @@ class Fixture:
         """contig_idx, contig, contig_len, seq"""
         return self._store("contigs", self._contigs)
 
-    def _contigs(self) -> DataFrame:
+    def _contigs(self, parts: int) -> DataFrame:
         letters = F.lower(F.regexp_replace("text", "[^A-Za-z]", ""))
-        return (self.table("documents")
+        return (self.table("documents").repartitionByRange(parts, "doc_id")
                 .select(F.col("doc_id").cast("int").alias("contig_idx"),
                         F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("contig"),
                         F.translate(letters, LETTERS, AS_BASES).alias("seq"))
@@ -91,10 +94,10 @@ class Fixture:
     def alignments(self) -> DataFrame:
         return self._store("alignments", self._alignments)
 
-    def _alignments(self) -> DataFrame:
+    def _alignments(self, parts: int) -> DataFrame:
         r = self._fragments().withColumn("mate", F.explode(F.array(F.lit(1), F.lit(2))))
         r = r.withColumn("pos0", F.expr(f"CASE WHEN mate = 1 THEN fstart ELSE fstart + isize - {READ} END"))
-        r = r.repartitionByRange("contig_idx", "pos0", "fid")
+        r = r.repartitionByRange(parts, "contig_idx", "pos0", "fid")
         r = r.withColumns({"a": F.expr("anchor - pos0"), "off": F.expr("pos0 - fstart"),
                            "deletes": F.expr("contig_idx % 2 = 0")})
         r = r.withColumns({"carries": F.expr("hap = 1 AND a BETWEEN 8 AND 40"),

@@ -11,6 +11,26 @@ MAX_PHRED = 93
 MICRO = 1_000_000
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    The optimizer may copy a column's expression to every place that names it,
+    also into lambdas, where it would run once per element; a bound value cannot
+    be copied.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def differences(a: Column, b: Column) -> Column:
+    """Number of places where two equally long texts differ."""
+    def count(t):
+        return F.size(F.filter(
+            F.sequence(F.lit(1), F.length(t["a"])),
+            lambda i: F.substring(t["a"], i, F.lit(1)) != F.substring(t["b"], i, F.lit(1))))
+    return bind(F.struct(a.alias("a"), b.alias("b")),
+                lambda t: F.when(t["a"] == t["b"], 0).otherwise(count(t)))
+
+
 def has_flag(flag: Column, bits: int) -> Column:
     return flag.bitwiseAND(F.lit(bits)) != 0
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
-from ..functions.bases import MICRO, copy_terms, lookup
+from ..functions.bases import MICRO, bind, copy_terms, lookup
 from ..functions.intervals import overlap_join
 from .pileup import callable_reads
 from .reference import reference_pieces
@@ -34,11 +34,6 @@ def _log_sum(values: Column) -> Column:
         F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.pow(F.lit(10.0), v - F.array_max(values))))
 
 
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def genotype(sums: Column, ploidy: int, theta: float) -> Column:
     """``struct<qual, ref_qual, gt>`` from an array of likelihood sums (millionths) per copy number."""
     priors = F.lit(log_priors(ploidy, theta))
@@ -53,7 +48,7 @@ def genotype(sums: Column, ploidy: int, theta: float) -> Column:
                         F.round((none - _log_sum(rest)) * 10, 2).alias("ref_qual"),
                         F.array_join(text, "/").alias("gt"))
 
-    return _bind(posterior, decide)
+    return bind(posterior, decide)
 
 
 def locus_sums(pile: DataFrame, ploidy: int, min_base_quality: int = 10) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from ..functions.bases import bind
 from ..functions.intervals import merge_intervals, overlap_join
 from ..functions.scaling import cut_lineage
 from .call import indel_events
@@ -43,11 +44,13 @@ def realign_targets(df: DataFrame, known_indels: DataFrame | None, pad: int = 10
 
 def _cost(seq: Column, quals: Column, other: Column) -> Column:
     """Sum of the qualities where two equally long texts differ; NULL if lengths differ."""
-    wrong = F.aggregate(
-        F.sequence(F.lit(1), F.length(seq)), F.lit(0),
-        lambda acc, i: acc + F.when(F.substring(seq, i, F.lit(1)) != F.substring(other, i, F.lit(1)),
-                                    F.get(quals, i - 1)).otherwise(0))
-    return F.when(F.length(seq) == F.length(other), wrong)
+    def total(t):
+        wrong = F.filter(F.sequence(F.lit(1), F.length(t["a"])),
+                         lambda i: F.substring(t["a"], i, F.lit(1)) != F.substring(t["b"], i, F.lit(1)))
+        return F.when(t["a"] == t["b"], 0).when(
+            F.length(t["a"]) == F.length(t["b"]),
+            F.aggregate(wrong, F.lit(0), lambda acc, i: acc + F.get(quals, i - 1)))
+    return bind(F.struct(seq.alias("a"), other.alias("b")), total)
 
 
 def _projected(seq: Column, cigar: Column, under: Column) -> Column:
@@ -104,17 +107,21 @@ def realign_indels(df: DataFrame, targets: DataFrame, blocks: DataFrame, known_i
 
     end_kept = F.col("end") - n + 1 + shift
     under = F.substring("ref_seq", F.col("at") - F.col("ref_from") + 1, F.col("end") - F.col("at") + 1)
-    scored = pairs.withColumns({
-        "cost": _cost(F.col("seq"), F.col("quals"), _projected(F.col("seq"), F.col("now"), under)),
-        "cost_a": _cost(F.col("seq"), F.col("quals"), haplotype(F.col("at"))),
-        "cost_b": _cost(F.col("seq"), F.col("quals"), haplotype(end_kept)),
-    })
-    a_wins = F.col("cost_b").isNull() | (F.col("cost_a") <= F.col("cost_b"))
-    start = F.when(a_wins, F.col("at")).otherwise(end_kept)
-    gains = scored.select(
-        "read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins",
-        (F.col("cost") - F.least("cost_a", "cost_b")).alias("gain"),
-        start.cast("int").alias("new_pos"), new_cigar(start).alias("new_cigar")).filter(F.col("gain") > 0)
+    seq, quals = F.col("seq"), F.col("quals")
+
+    def judge(kept):
+        a_wins = kept["b"].isNull() | (kept["a"] <= kept["b"])
+        start = F.when(a_wins, F.col("at")).otherwise(end_kept)
+        return F.struct((kept["now"] - F.least(kept["a"], kept["b"])).alias("gain"),
+                        start.cast("int").alias("new_pos"), new_cigar(start).alias("new_cigar"))
+
+    costs = F.struct(_cost(seq, quals, _projected(seq, F.col("now"), under)).alias("now"),
+                     _cost(seq, quals, haplotype(F.col("at"))).alias("a"),
+                     _cost(seq, quals, haplotype(end_kept)).alias("b"))
+    # a read without mismatches has nothing to gain; the others are scored once
+    gains = pairs.select("read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins",
+                         F.explode(F.filter(F.array(bind(costs, judge)), lambda j: j["gain"] > 0)).alias("j")) \
+        .select("read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins", "j.*")
     gains = cut_lineage(gains)  # read twice below
     spot = ["contig_idx", "iv_start", "spot", "gone", "ins"]
     totals = gains.groupBy(*spot).agg(F.sum("gain").alias("total")).filter(F.col("total") >= lod * 10)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import model as M
-from ..functions.bases import base_at, complement, has_flag
+from ..functions.bases import base_at, bind, complement, has_flag
 from ..functions.scaling import cut_lineage, lookup_join
 from .pileup import base_rows, callable_reads
 from .reference import mask_blocks
@@ -119,24 +119,25 @@ def bqsr_apply(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
     sign = F.when(F.col("mate") == 2, -1).otherwise(1)
     forward_codes = _codes(F.col("seq"))
     other_strand = F.transform(F.reverse(forward_codes), lambda c: F.when(c >= 0, F.lit(3) - c).otherwise(c))
-    rows = rows.withColumns({
-        "_codes": F.when(reverse, other_strand).otherwise(forward_codes),
-        "_quals": F.when(reverse, F.reverse("quals")).otherwise(F.col("quals")),
-        "_sign": sign,
-    })
-
-    def renew(q, i):
-        step = F.get("_steps", q)
-        here, prev = F.get("_codes", i), F.get("_codes", i - 1)
-        known = (i > 0) & (here >= 0) & (prev >= 0)
-        cycle = F.coalesce(F.get(step["c"], F.col("_sign") * (i + 1) + reach), F.lit(0))
-        context = F.when(known, F.coalesce(F.get(step["x"], prev * 4 + here), F.lit(0))).otherwise(0)
-        total = F.least(F.greatest(step["base_q"] + cycle + context, F.lit(1)), F.lit(HIGHEST_QUALITY))
-        return F.when((q < LOWEST_QUALITY) | step.isNull(), q).otherwise(total)
-
-    fresh = F.transform("_quals", renew)
-    rows = rows.withColumn("quals", F.when(F.col("_steps").isNull(), F.col("quals"))
-                           .when(reverse, F.reverse(fresh)).otherwise(fresh))
+    ordered = F.struct(
+        F.when(reverse, other_strand).otherwise(forward_codes).alias("codes"),
+        F.when(reverse, F.reverse("quals")).otherwise(F.col("quals")).alias("quals"), sign.alias("sign"))
+
+    def renewed(read):
+        def renew(q, i):
+            step = F.get("_steps", q)
+            here, prev = F.get(read["codes"], i), F.get(read["codes"], i - 1)
+            known = (i > 0) & (here >= 0) & (prev >= 0)
+            cycle = F.coalesce(F.get(step["c"], read["sign"] * (i + 1) + reach), F.lit(0))
+            context = F.when(known, F.coalesce(F.get(step["x"], prev * 4 + here), F.lit(0))).otherwise(0)
+            total = F.least(F.greatest(step["base_q"] + cycle + context, F.lit(1)), F.lit(HIGHEST_QUALITY))
+            return F.when((q < LOWEST_QUALITY) | step.isNull(), q).otherwise(total)
+        return F.transform(read["quals"], renew)
+
+    fresh = bind(ordered, renewed)
+    fresh = F.when(F.col("_steps").isNull(), F.col("quals")).when(reverse, F.reverse(fresh)).otherwise(fresh)
+    # never NULL where there were qualities, and declared so: no second evaluation in a null check
+    rows = rows.withColumn("quals", F.coalesce(fresh, F.array().cast("array<int>")))
     return rows.select(*df.columns)
 
 
