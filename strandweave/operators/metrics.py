@@ -10,7 +10,7 @@ from ..functions.intervals import coverage_runs, merge_intervals, overlap_join
 from .dedup import library_size
 from .pileup import base_rows, match_ranges
 from .recalibrate import machine_cycle
-from .reference import reference_pieces
+from .reference import reference_pieces, windows_of
 
 COVERAGE_STEPS = [1, 2, 10, 20, 30]
 NEAR = 250
@@ -110,11 +110,9 @@ def gc_bias(df: DataFrame, blocks: DataFrame, width: int = 100, block: int = M.B
     A read counts in the window that begins where it starts, or for the reverse
     strand ends where it ends.
     """
-    last = F.least(F.lit(block - 1), F.length("seq") - width)
-    windows = (blocks.filter(F.length("seq") >= width)
-               .select("seq", F.explode(F.sequence(F.lit(0), last)).alias("k"))
-               .groupBy(_gc_percent(F.substring("seq", F.col("k") + 1, F.lit(width)), width).alias("gc"))
-               .agg(F.count(F.lit(1)).alias("windows")))
+    count = F.least(F.lit(block), F.length("seq") - (width - 1))
+    windows = windows_of(blocks, F.col("seq"), count, width, []) \
+        .groupBy(_gc_percent(F.col("window"), width).alias("gc")).agg(F.count(F.lit(1)).alias("windows"))
     mapped = _primary(df).filter(~has_flag(F.col("flag"), M.UNMAPPED))
     at = F.when(has_flag(F.col("flag"), M.REVERSE), C.reference_end(F.col("pos"), F.col("cigar")) - (width - 1)) \
         .otherwise(F.col("pos"))

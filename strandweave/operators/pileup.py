@@ -22,17 +22,21 @@ def base_rows(df: DataFrame, blocks: DataFrame, keep: list, kinds=("M", "=", "X"
     them run in the same stage, so callers can aggregate before any shuffle.
     """
     need = df.select(*keep, "contig_idx", "pos", "cigar")
+    names = [c for c in need.columns if c not in ("pos", "cigar")]
     rows = reference_pieces(need, blocks)
-    rows = rows.withColumn("_s", F.explode(C.cigar_segments(F.col("cigar")))) \
-        .filter(F.col("_s.op").isin(list(kinds)))
-    rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_s.len") - 1))) \
-        .withColumn("rpos", F.col("pos") + F.col("_s.ref_off") + F.col("_k")) \
-        .filter(F.col("rpos").between(F.col("ref_from"), F.col("ref_to")))
-    return rows.withColumns({
-        "i": F.col("_s.read_off") + F.when(F.col("_s.op").isin(C.ON_READ), F.col("_k")).otherwise(0),
-        "op": F.col("_s.op"),
-        "ref_base": base_at(F.col("ref_seq"), F.col("rpos") - F.col("ref_from")),
-    }).drop("_s", "_k", "ref_seq", "ref_from", "ref_to", "pos", "cigar")
+    rows = rows.select(*names, "pos", "ref_from", "ref_to", "ref_seq",
+                       F.explode(C.cigar_segments(F.col("cigar"))).alias("s")).filter(F.col("s.op").isin(list(kinds)))
+    # whatever is the same for a whole operation is computed before its bases
+    first = F.col("pos") + F.col("s.ref_off")
+    rows = rows.select(*names, "ref_seq", F.col("s.op").alias("op"), F.col("s.read_off").alias("_i0"),
+                       F.when(F.col("s.op") == "D", 0).otherwise(1).alias("_step"), first.alias("_p0"),
+                       (first - F.col("ref_from") + 1).alias("_r0"),
+                       F.greatest(F.col("ref_from") - first, F.lit(0)).alias("_lo"),
+                       F.least(F.col("ref_to") - first, F.col("s.len") - 1).alias("_hi"))
+    rows = rows.filter(F.col("_lo") <= F.col("_hi")).withColumn("_k", F.explode(F.sequence("_lo", "_hi")))
+    return rows.select(*names, "op", (F.col("_i0") + F.col("_k") * F.col("_step")).alias("i"),
+                       (F.col("_p0") + F.col("_k")).alias("rpos"),
+                       F.substring("ref_seq", F.col("_r0") + F.col("_k"), F.lit(1)).alias("ref_base"))
 
 
 def pileup(df: DataFrame, blocks: DataFrame, min_base_quality: int = 10) -> DataFrame:

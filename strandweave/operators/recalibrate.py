@@ -34,24 +34,26 @@ def bqsr_table(df: DataFrame, known_sites: DataFrame, blocks: DataFrame,
     grouping sets over those few cells.
     """
     masked = mask_blocks(blocks, known_sites)
-    keep = [F.col("read_group.id").alias("read_group"), "flag", "mate", "seq", "quals"]
-    rows = base_rows(callable_reads(df), masked, keep)
     reverse = has_flag(F.col("flag"), M.REVERSE)
-    base = base_at(F.col("seq"), F.col("i"))
-    before = F.when(reverse, F.col("i") + 1).otherwise(F.col("i") - 1)
-    inside = (before >= 0) & (before < F.length("seq"))
-    pair = F.when(inside, F.concat(base_at(F.col("seq"), before), base))
-    context = F.when(reverse, complement(pair)).otherwise(pair)
-    cells = rows.select(
+    keep = [F.col("read_group.id").alias("read_group"), "seq", "quals", reverse.alias("reverse"),
+            F.when(F.col("mate") == 2, -1).otherwise(1).alias("sign"),
+            F.when(reverse, F.length("seq")).otherwise(1).alias("c0"), F.when(reverse, -1).otherwise(1).alias("c1")]
+    rows = base_rows(callable_reads(df), masked, keep)
+    # the base with the one sequenced before it, as it stands in the row
+    two = F.substring("seq", F.when(F.col("reverse"), F.col("i") + 1).otherwise(F.col("i")), F.lit(2))
+    rows = rows.filter(F.col("ref_base") != "N").select(
         "read_group", F.get("quals", F.col("i")).alias("reported_q"),
-        machine_cycle(F.col("flag"), F.col("mate"), F.col("i"), F.length("seq")).alias("cycle"),
-        F.when(context.contains("N"), None).otherwise(context).alias("context"),
-        base.alias("base"), "ref_base")
-    cells = (cells.filter(F.col("ref_base").isin("A", "C", "G", "T") & F.col("base").isin("A", "C", "G", "T")
-                          & (F.col("reported_q") >= min_quality))
-             .groupBy("read_group", "reported_q", "cycle", "context")
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.sum((F.col("base") != F.col("ref_base")).cast("bigint")).alias("e")))
+        (F.col("c0") + F.col("c1") * F.col("i")).alias("at"), "sign", "reverse", two.alias("two"),
+        base_at(F.col("seq"), F.col("i")).alias("base"), "ref_base")
+    cells = rows.filter(F.col("reported_q") >= min_quality) \
+        .groupBy("read_group", "reported_q", "at", "sign", "reverse", "two", "base") \
+        .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("base") != F.col("ref_base")).cast("bigint")).alias("e"))
+    # strand and sign are turned on the summed cells, not on the bases
+    context = F.when(F.col("reverse"), F.reverse(complement(F.col("two")))).otherwise(F.col("two"))
+    known = (F.col("at") > 1) & F.col("two").rlike("^[ACGT]{2}$")
+    cells = cells.filter(F.col("base").isin("A", "C", "G", "T")).select(
+        "read_group", "reported_q", (F.col("at") * F.col("sign")).alias("cycle"),
+        F.when(known, context).alias("context"), "n", "e")
     g, q, c, x = (F.col(k) for k in ("read_group", "reported_q", "cycle", "context"))
     sets = cells.groupingSets([[g], [g, q], [g, q, c], [g, q, x]], g, q, c, x).agg(
         F.sum("n").alias("observations"), F.sum("e").alias("errors"),

@@ -76,33 +76,35 @@ def reference_pieces(df: DataFrame, blocks: DataFrame, block: int = BLOCK, overl
             .drop("_end", "block", "_start", "_seq"))
 
 
+def windows_of(df: DataFrame, text: Column, count: Column, width: int, keep: list[str],
+               step: int = 1, run: int = 64) -> DataFrame:
+    """``keep`` plus ``k, window``: the first ``count`` windows of ``text``, ``step`` apart.
+
+    Reaching into a long string costs its length, so it is cut to short runs
+    first and the windows are taken from those.
+    """
+    rows = df.select(*keep, text.alias("_t"), count.alias("_n")).filter(F.col("_n") > 0)
+    rows = rows.withColumn("_r", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / run).cast("int"))))
+    rows = rows.select(*keep, (F.col("_r") * run).alias("_first"), F.least(F.lit(run), F.col("_n") - F.col("_r") * run).alias("_n"),
+                       F.substring("_t", F.col("_r") * (run * step) + 1, F.lit((run - 1) * step + width)).alias("_t"))
+    rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    return rows.select(*keep, (F.col("_first") + F.col("_k")).alias("k"),
+                       F.substring("_t", F.col("_k") * step + 1, F.lit(width)).alias("window"))
+
+
 def count_contigs(fasta_lines: DataFrame) -> DataFrame:
     """How many lines of a FASTA text (column ``value``) open a contig."""
     return fasta_lines.filter(F.col("value").startswith(">")).agg(F.count(F.lit(1)).alias("contigs"))
 
 
 def sequence_windows(contigs: DataFrame, width: int, overlap: int) -> DataFrame:
-    """Substrings of ``width`` bases every ``width - overlap``; the last may be short.
-
-    Long contigs are cut to runs of windows first, so each substring is taken
-    from a short string.
-    """
+    """Substrings of ``width`` bases every ``width - overlap``; the last may be short."""
     step = width - overlap
     if step <= 0:
         raise ValueError("overlap must be smaller than width")
-    per_run = max(1, 4096 // step)
-    last = F.floor((F.greatest(F.length("seq") - F.lit(overlap), F.lit(1)) - 1) / F.lit(step)).cast("int")
-    runs = (contigs.filter(F.length("seq") > 0)
-            .select("contig_idx", "contig", "seq", last.alias("_last"))
-            .withColumn("_run", F.explode(F.sequence(F.lit(0), F.floor(F.col("_last") / per_run).cast("int"))))
-            .withColumn("_part", F.substring("seq", F.col("_run") * (per_run * step) + 1,
-                                             F.lit(per_run * step + width)))
-            .drop("seq"))
-    return (runs.withColumn("_k", F.explode(F.sequence(
-                F.lit(0), F.least(F.lit(per_run - 1), F.col("_last") - F.col("_run") * per_run))))
-            .select("contig_idx", "contig",
-                    ((F.col("_run") * per_run + F.col("_k")) * step + 1).cast("int").alias("start"),
-                    F.substring("_part", F.col("_k") * step + 1, F.lit(width)).alias("seq")))
+    count = F.floor((F.greatest(F.length("seq") - F.lit(overlap), F.lit(1)) - 1) / F.lit(step)).cast("int") + 1
+    rows = windows_of(contigs.filter(F.length("seq") > 0), F.col("seq"), count, width, ["contig_idx", "contig"], step)
+    return rows.select("contig_idx", "contig", (F.col("k") * step + 1).alias("start"), F.col("window").alias("seq"))
 
 
 def find_subsequence(blocks: DataFrame, query: str, block: int = BLOCK, overlap: int = OVERLAP) -> DataFrame:
@@ -114,11 +116,10 @@ def find_subsequence(blocks: DataFrame, query: str, block: int = BLOCK, overlap:
     n = len(query)
     if n - 1 > overlap:
         raise ValueError("use reference blocks whose overlap is at least the query length")
-    return (blocks.filter(F.col("seq").contains(query))
-            .withColumn("_k", F.explode(F.sequence(
-                F.lit(0), F.greatest(F.least(F.lit(block), F.length("seq") - n + 1) - 1, F.lit(0)))))
-            .filter(F.substring("seq", F.col("_k") + 1, F.lit(n)) == query)
-            .select("contig_idx", "contig", (F.col("start") + F.col("_k")).cast("int").alias("pos")))
+    rows = windows_of(blocks.filter(F.col("seq").contains(query)), F.col("seq"),
+                      F.least(F.lit(block), F.length("seq") - (n - 1)), n, ["contig_idx", "contig", "start"])
+    return rows.filter(F.col("window") == query).select(
+        "contig_idx", "contig", (F.col("start") + F.col("k")).cast("int").alias("pos"))
 
 
 def subsequence(contigs: DataFrame, pos: int, length: int) -> DataFrame:
