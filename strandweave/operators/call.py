@@ -88,7 +88,8 @@ def call_sites(pile: DataFrame, ploidy: int = 2, variable_only: bool = False) ->
     both = F.zip_with(F.get("_s", F.col("_r")), F.coalesce(F.reverse(F.get("_s", F.col("_a"))), nothing),
                       lambda x, y: x + y)
     none = F.col("_a").isNull()
-    rows = rows.withColumn("_g", genotype(both, ploidy, SNP_THETA))
+    # generated, not projected: filters on it then stay above, and it is computed once per locus
+    rows = rows.select("*", F.explode(F.array(genotype(both, ploidy, SNP_THETA))).alias("_g"))
     return rows.select(
         "contig_idx", "contig", "pos", F.col("ref_base").alias("ref"),
         F.when(none, ".").otherwise(F.substring(F.lit(LETTERS), F.col("_a") + 1, F.lit(1))).alias("alt"),
@@ -168,7 +169,7 @@ def call_indels(df: DataFrame, blocks: DataFrame, min_fraction: float = 0.1,
     terms = [t[INDEL_QUALITY] for t in copy_terms(ploidy)]
     likelihoods = F.array(*[(F.col("dp") - F.col("ad")) * terms[k] + F.col("ad") * terms[ploidy - k]
                             for k in range(ploidy + 1)])
-    rows = rows.withColumn("_g", genotype(likelihoods, ploidy, INDEL_THETA)).select(
+    rows = rows.select("*", F.explode(F.array(genotype(likelihoods, ploidy, INDEL_THETA))).alias("_g")).select(
         "contig_idx", "contig", "pos", "ref", "alt", "_g.qual", "_g.gt", "dp", "ad")
     return rows.filter(F.col("qual") >= conf)
 

@@ -118,10 +118,10 @@ def realign_indels(df: DataFrame, targets: DataFrame, blocks: DataFrame, known_i
     costs = F.struct(_cost(seq, quals, _projected(seq, F.col("now"), under)).alias("now"),
                      _cost(seq, quals, haplotype(F.col("at"))).alias("a"),
                      _cost(seq, quals, haplotype(end_kept)).alias("b"))
-    # a read without mismatches has nothing to gain; the others are scored once
+    # generated, not projected: the filter stays above, and each pair is scored once
     gains = pairs.select("read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins",
-                         F.explode(F.filter(F.array(bind(costs, judge)), lambda j: j["gain"] > 0)).alias("j")) \
-        .select("read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins", "j.*")
+                         F.explode(F.array(bind(costs, judge))).alias("j")) \
+        .select("read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins", "j.*").filter(F.col("gain") > 0)
     gains = cut_lineage(gains)  # read twice below
     spot = ["contig_idx", "iv_start", "spot", "gone", "ins"]
     totals = gains.groupBy(*spot).agg(F.sum("gain").alias("total")).filter(F.col("total") >= lod * 10)
