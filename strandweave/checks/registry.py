@@ -120,7 +120,7 @@ def _count_contigs(fx):
 
 @query("read_reference", O.READ_REFERENCE)
 def _read_reference(fx):
-    contigs, blocks = readers.read_reference(fx.spark, _fasta(fx), split_bytes=100_000)
+    contigs, blocks = readers.read_reference(fx.spark, _fasta(fx), split_bytes=1 << 20)
     return blocks.join(contigs.select("contig", "contig_len"), "contig").select(
         "contig_idx", "contig", "contig_len", "block", "start", F.md5("seq").alias("digest"))
 

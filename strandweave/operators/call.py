@@ -51,12 +51,17 @@ def genotype(sums: Column, ploidy: int, theta: float) -> Column:
     return bind(posterior, decide)
 
 
-def locus_sums(pile: DataFrame, ploidy: int, min_base_quality: int = 10) -> DataFrame:
-    """Per locus: counts and likelihood sums of each letter, for each copy number."""
+def locus_sums(pile: DataFrame, ploidy: int, min_base_quality: int = 10, every_locus: bool = False) -> DataFrame:
+    """Per locus: counts and likelihood sums of each letter, for each copy number.
+
+    ``every_locus`` keeps loci without a base of sufficient quality, with zeros.
+    """
     terms = copy_terms(ploidy)
     keys = ["contig_idx", "contig", "pos", "ref_base"]
-    rows = pile.filter(F.col("q") >= min_base_quality).select(
-        *keys, "base", *[lookup(terms[k], F.col("q")).alias(f"t{k}") for k in range(ploidy + 1)])
+    good = F.col("q") >= min_base_quality
+    rows = pile if every_locus else pile.filter(good)
+    rows = rows.select(*keys, F.when(good, F.col("base")).alias("base"),
+                       *[lookup(terms[k], F.col("q")).alias(f"t{k}") for k in range(ploidy + 1)])
     aggs = []
     for b in LETTERS:
         hit = F.col("base") == b
@@ -67,12 +72,17 @@ def locus_sums(pile: DataFrame, ploidy: int, min_base_quality: int = 10) -> Data
 
 
 def call_sites(pile: DataFrame, ploidy: int = 2, variable_only: bool = False) -> DataFrame:
-    """Every covered locus with genotype, quality and confidence in the reference.
+    """Every locus with a base of sufficient quality: genotype, quality, confidence in the reference.
 
     ``alt`` is the most frequent other letter (ties by letter), or ``.``; only
     it and the reference letter count towards depth and likelihood.
     """
-    sums = locus_sums(pile, ploidy).filter(F.col("ref_base").isin(list(LETTERS)))
+    return sites_from_sums(locus_sums(pile, ploidy), ploidy, variable_only)
+
+
+def sites_from_sums(sums: DataFrame, ploidy: int = 2, variable_only: bool = False, keep_empty: bool = False) -> DataFrame:
+    """Genotypes of ``locus_sums``; ``keep_empty`` keeps loci of depth 0."""
+    sums = sums.filter(F.col("ref_base").isin(list(LETTERS)))
     counts = F.array(*[F.col(f"n_{b}") for b in LETTERS])
     likelihoods = F.array(*[F.array(*[F.col(f"s{k}_{b}") for k in range(ploidy + 1)]) for b in LETTERS])
     place = F.instr(F.lit(LETTERS), F.col("ref_base")) - 1
@@ -80,7 +90,8 @@ def call_sites(pile: DataFrame, ploidy: int = 2, variable_only: bool = False) ->
                        likelihoods.alias("_s"), place.alias("_r"))
     total = F.get("_n", F.lit(0)) + F.get("_n", F.lit(1)) + F.get("_n", F.lit(2)) + F.get("_n", F.lit(3))
     seen = F.get("_n", F.col("_r"))
-    rows = rows.filter(total > (seen if variable_only else 0))
+    if not keep_empty:
+        rows = rows.filter(total > (seen if variable_only else 0))
     others = F.transform("_n", lambda n, i: F.when(i == F.col("_r"), F.lit(0)).otherwise(n))
     top = F.array_max(others)
     rows = rows.withColumn("_a", F.when(top > 0, F.array_position(others, top).cast("int") - 1))

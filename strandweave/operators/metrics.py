@@ -100,8 +100,16 @@ def alignment_summary(df: DataFrame, blocks: DataFrame) -> DataFrame:
         F.round(F.col("_fwd") / F.col("aligned"), 6).alias("strand_balance"))
 
 
-def _gc_percent(seq, width: int):
-    return F.floor(F.length(F.translate(seq, "ATat", "")) * 100 / F.lit(width)).cast("int")
+def _gc_marks(seq):
+    """1 for every G or C, 0 for any other letter."""
+    return F.translate(F.translate(seq, "GCgc", "1111"), "ATNatnRYKMSWBDHV", "0" * 16)
+
+
+def _gc_percent(marks, width: int):
+    """Share of ones among ``width`` marks, counted as bits of numbers of up to 60 digits."""
+    ones = sum((F.bit_count(F.conv(F.substring(marks, at + 1, min(60, width - at)), 2, 10).cast("bigint"))
+                for at in range(0, width, 60)), F.lit(0))
+    return F.floor(ones * 100 / F.lit(width)).cast("int")
 
 
 def gc_bias(df: DataFrame, blocks: DataFrame, width: int = 100, block: int = M.BLOCK) -> DataFrame:
@@ -111,7 +119,7 @@ def gc_bias(df: DataFrame, blocks: DataFrame, width: int = 100, block: int = M.B
     strand ends where it ends.
     """
     count = F.least(F.lit(block), F.length("seq") - (width - 1))
-    windows = windows_of(blocks, F.col("seq"), count, width, []) \
+    windows = windows_of(blocks, _gc_marks(F.col("seq")), count, width, []) \
         .groupBy(_gc_percent(F.col("window"), width).alias("gc")).agg(F.count(F.lit(1)).alias("windows"))
     mapped = _primary(df).filter(~has_flag(F.col("flag"), M.UNMAPPED))
     at = F.when(has_flag(F.col("flag"), M.REVERSE), C.reference_end(F.col("pos"), F.col("cigar")) - (width - 1)) \
@@ -120,7 +128,7 @@ def gc_bias(df: DataFrame, blocks: DataFrame, width: int = 100, block: int = M.B
         "contig_idx", at.cast("int").alias("pos"), F.lit(f"{width}M").alias("cigar"),
         F.aggregate("quals", F.lit(0), lambda a, q: a + q).alias("qsum"), F.size("quals").alias("len"))
     under = reference_pieces(starts.filter(F.col("pos") >= 1), blocks).filter(F.length("ref_seq") == width)
-    reads = under.groupBy(_gc_percent(F.col("ref_seq"), width).alias("gc")).agg(
+    reads = under.groupBy(_gc_percent(_gc_marks(F.col("ref_seq")), width).alias("gc")).agg(
         F.count(F.lit(1)).alias("read_starts"), F.sum(F.col("qsum").cast("bigint")).alias("qsum"),
         F.sum(F.col("len").cast("bigint")).alias("len"))
     table = windows.join(reads, "gc", "left").na.fill(0, ["read_starts"])
