@@ -56,16 +56,20 @@ def first_seen(rows: DataFrame, key: str, columns: list[str], remember: int = 20
 
 
 class Memo(dict):
-    """Dictionary filled on demand by ``make(key)``, emptied when ``limit`` entries are reached."""
+    """Dictionary filled on demand by ``make(key)``; of more than ``limit`` entries those not used lately go."""
 
     def __init__(self, make, limit: int = 400_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.half, self.older = make, limit // 2, {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.older.pop(key, self)
+        if value is self:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 

@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import op4_budgeted_windows
+from .chunk_bpe import op6_chunk_reuse
+from .mixing import op7_entropy_mixing
 from .pii import op10_pii_spans
+from .prefix_counts import op3_prefix_counts
 from .topk import OP8_SQL, op8_exact_topk
+from .url_filter import OP5_SQL, op5_redirect_equivalence
+from .warc_zip import OP9_SQL, op9_zip_archives
 
-QUERIES = [op8_exact_topk, op10_pii_spans]
-SQL = {"op8_exact_topk": OP8_SQL}
+QUERIES = [op3_prefix_counts, op4_budgeted_windows, op5_redirect_equivalence, op6_chunk_reuse, op7_entropy_mixing,
+           op8_exact_topk, op9_zip_archives, op10_pii_spans]
+SQL = {"op5_redirect_equivalence": OP5_SQL, "op8_exact_topk": OP8_SQL, "op9_zip_archives": OP9_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
