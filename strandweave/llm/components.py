@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scaling import cut_lineage
+from .common import stored
 
 
 def _minimum(pairs: DataFrame) -> DataFrame:
-    """(u, m): smallest of u and its neighbours. Aggregated before the shuffle, so a hot u sends one row per task."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    """(u, m): smallest of u and its neighbours. Aggregated before the shuffle, so a hot u sends one row per task.
+
+    Stored, so that joins with it have two plain shuffles, of which the rows of a hot u can be split.
+    """
+    return stored(pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "stars")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -106,8 +106,9 @@ def candidate_clusters(members: DataFrame) -> DataFrame:
     """(set_key, cluster): sets that share trie nodes, directly or through others."""
     under = members.filter("labels is not null").select("set_key", F.posexplode("labels").alias("tree", "label"))
     node = ["tree", "label"]
-    first = (under.groupBy(*node).agg(F.min("set_key").alias("first"), F.max("set_key").alias("last"))
-             .filter("first <> last").drop("last"))
+    # stored, here and below, so that joins have two plain shuffles, of which a hot key's rows can be split
+    first = stored(under.groupBy(*node).agg(F.min("set_key").alias("first"), F.max("set_key").alias("last"))
+                   .filter("first <> last").drop("last"), "trie-nodes")
     edges = under.join(first, node).filter("set_key <> first").select("set_key", "first").distinct()
     return connected_components(edges, "set_key", "first").withColumnsRenamed({"node": "set_key", "component": "cluster"})
 
@@ -149,7 +150,7 @@ def verified(texts: DataFrame, clusters: DataFrame, members: DataFrame, threshol
              block: int) -> DataFrame:
     """(set_key, other, n_links): links of each set inside its block pairs, and one set it hangs together with."""
     percent = round(threshold * 1000)
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    sizes = stored(clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "sizes")
     where = clusters.join(sizes, "cluster").withColumn("b", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
     chosen = members.groupBy("set_key").agg(F.min("text_key").alias("text_key")).join(where, "set_key")
     rows = texts.select("text_key", "text").join(chosen, "text_key")
@@ -221,8 +222,8 @@ def op2_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = stored(near_duplicates(docs), "near")
     rows = stored(with_text_key(docs).select("doc_id", "text_key").join(found, "text_key", "left"), "classed")
-    classes = rows.groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
-    sets = rows.groupBy("set_key").agg(F.count(F.lit(1)).alias("n_same"))
+    classes = stored(rows.groupBy("class_key").agg(F.min("doc_id").alias("class_id")), "classes")
+    sets = stored(rows.groupBy("set_key").agg(F.count(F.lit(1)).alias("n_same")), "sets")
     return (rows.join(classes, "class_key", "left").join(sets, "set_key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.col("n_same") - 1, F.lit(0)).cast("long").alias("n_copies")))
@@ -240,6 +241,7 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
     light = keyed.select("_text_key", "doc_id").join(found, "_text_key", "left")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_text_key").alias("k"))
     best = light.groupBy(F.coalesce("_class", "_text_key").alias("c")).agg(F.min(order).alias("b"))
-    kept = best.select(F.col("b.d").alias("_d"), F.col("b.k").alias("_text_key"))
-    joined = keyed.join(kept, "_text_key").filter(F.col("doc_id").eqNullSafe(F.col("_d")))
-    return joined.dropDuplicates(["_text_key"]).select(*docs.columns)
+    row_key = lambda text, doc: F.unhex(F.md5(F.concat_ws("/", F.hex(text), doc.cast("string"))))
+    kept = best.select(row_key(F.col("b.k"), F.col("b.d")).alias("_row_key"))
+    joined = keyed.withColumn("_row_key", row_key(F.col("_text_key"), F.col("doc_id"))).join(kept, "_row_key")
+    return joined.dropDuplicates(["_row_key"]).select(*docs.columns)

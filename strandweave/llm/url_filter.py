@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table
 from .components import connected_components
 
 #: (verdict, host, path) as the contract of the query fixes them.
@@ -78,8 +78,9 @@ def judge(urls: DataFrame, edges: DataFrame, rules: list[tuple[str, str, str]],
     """
     members = connected_components(edges)
     rule, verdict = rule_columns(host_of(F.col("node")), path_of(F.col("node")), rules)
-    decided = (members.withColumn("_v", verdict).groupBy("component")
-               .agg(F.max(F.col("_v") == "allow").alias("_allow"), F.max(F.col("_v") == "block").alias("_block")))
+    members = stored(members, "aliases")
+    decided = stored(members.withColumn("_v", verdict).groupBy("component").agg(
+        F.max(F.col("_v") == "allow").alias("_allow"), F.max(F.col("_v") == "block").alias("_block")), "decided")
     spread = (members.join(decided, "component").select(
         F.col("node").alias("_node"),
         F.when(F.col("_allow"), "allow").when(F.col("_block"), "block").alias("_shared")))

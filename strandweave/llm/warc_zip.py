@@ -106,9 +106,10 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.unhex(F.sha2("html", 256)), "n_bytes": F.octet_length("html").cast("long")})
-    firsts = (rows.filter(F.col("n_bytes") >= REVISIT_FROM).groupBy("digest", "n_bytes")
-              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1 and first is not null").drop("n"))
+    # stored, so that the join has two plain shuffles, of which the rows of a hot payload can be split
+    firsts = stored(rows.filter(F.col("n_bytes") >= REVISIT_FROM).groupBy("digest", "n_bytes")
+                    .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                    .filter("n > 1 and first is not null").drop("n"), "first-payloads")
     again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     return (rows.join(firsts, ["digest", "n_bytes"], "left").withColumns({
         "record_type": F.when(again, "revisit").otherwise("response"), "refers_to": F.when(again, F.col("first"))})
