@@ -4,22 +4,24 @@ CHAIN = """
 WITH contigs AS (
   SELECT CAST(doc_id AS INT) contig_idx, concat('chr', CAST(doc_id AS VARCHAR)) contig, seq,
          CAST(length(seq) AS INT) contig_len
-  FROM (SELECT doc_id, translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')),
-               'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') seq FROM documents) t
+  FROM (SELECT doc_id, array_to_string(list_transform(string_split(letters, ''),
+               lambda c: substr('ACGT', CAST(unicode(c) % 4 + 1 AS BIGINT), 1)), '') seq
+        FROM (SELECT doc_id, regexp_replace(text, '[^\\p{L}]', '', 'g') letters FROM documents) l WHERE letters <> '') t
   WHERE length(seq) > 0),
 ref_bases AS (
   SELECT contig_idx, contig, contig_len, unnest(string_split(seq, '')) ref_base,
          CAST(unnest(range(1, contig_len + 1)) AS INT) rpos FROM contigs),
 hosts AS (
   SELECT *, CAST(contig_idx * 37 % (contig_len - 290) AS INT) w0,
-         CAST(contig_idx * 37 % (contig_len - 290) + 40 AS INT) anchor
+         CAST(contig_idx * 37 % (contig_len - 290) + 40 AS INT) anchor,
+         row_number() OVER (ORDER BY contig_idx) - 1 host_no
   FROM contigs WHERE contig_len >= 300),
 frag AS (
   SELECT o_orderkey fid, h.contig_idx, contig, contig_len, anchor,
          CAST(CASE WHEN o_orderkey % 8 <> 0 THEN w0 + (x % 20) * 3 ELSE x % (contig_len - 260) END AS INT) fstart,
          CAST(150 + (o_custkey % 10) * 5 AS INT) isize, CAST(o_orderkey % 2 AS INT) hap, seq
   FROM (SELECT *, o_orderkey * 7919 + o_custkey * 31 x FROM orders) o JOIN hosts h
-    ON h.contig_idx = (o_orderkey * 13 + o_custkey * 7) % (SELECT count(*) FROM documents)),
+    ON h.host_no = (o_orderkey * 13 + o_custkey * 7) % (SELECT count(*) FROM hosts)),
 frag_win AS (SELECT * EXCLUDE (seq), substr(seq, fstart + 1, isize + 3) win FROM frag),
 reads0 AS (
   SELECT f.*, CAST(m AS INT) mate, CAST(CASE WHEN m = 1 THEN fstart ELSE fstart + isize - 50 END AS INT) pos0
@@ -38,7 +40,7 @@ alignments AS (
          contig mate_contig,
          CAST(CASE WHEN mate = 1 THEN fstart + isize - 49 ELSE fstart + 1 END AS INT) mate_pos,
          CAST(CASE WHEN mate = 1 THEN isize ELSE -isize END AS INT) tlen,
-         concat('rg', CAST(fid % 3 AS VARCHAR)) read_group, concat('lib', CAST(fid % 3 % 2 AS VARCHAR)) library,
+         concat('rg', CAST(fid % 3 AS VARCHAR)) read_group, CASE WHEN fid % 3 < 2 THEN concat('lib', CAST(fid % 3 AS VARCHAR)) END library,
          CASE WHEN carries AND deletes THEN substr(win, off + 1, a) || substr(win, off + a + 4, 50 - a)
               WHEN carries THEN substr(win, off + 1, a) || 'TGC' || substr(win, off + a + 1, 47 - a)
               ELSE substr(win, off + 1, 50) END tmpl

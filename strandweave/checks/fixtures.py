@@ -1,10 +1,12 @@
 """Reads, reference and known sites derived from the given tables.
 
-Every document becomes a contig (letters map onto A, C, G, T; the whole text is
-used) and every order a read pair on one of them. Variants, sequencing errors,
-low-quality tails and copies are planted by arithmetic, so the same rows can be
-derived in plain SQL (``fixture_sql``). Contigs under ``MIN_CONTIG`` bases are
-too short to hold a fragment; they stay in the reference without reads.
+Every document becomes a contig (each letter of the whole text, of any alphabet,
+maps onto A, C, G, T by its code point) and every order a read pair on one of them.
+Variants, sequencing errors, low-quality tails and copies are planted by
+arithmetic, so the same rows can be derived in plain SQL (``fixture_sql``).
+Contigs under ``MIN_CONTIG`` bases are too short to hold a fragment: they stay in
+the reference, and the orders are dealt over the others, by a dense number.
+A third of the reads is of a group without a library.
 """
 
 from functools import cached_property
@@ -15,8 +17,6 @@ from pyspark.sql import functions as F
 from ..functions import scaling
 from ..operators.reference import reference_blocks
 
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-AS_BASES = "ACGTACGTACGTACGTACGTACGTAC"
 MIN_CONTIG = 300
 READ = 50
 INSERTED = "TGC"
@@ -51,11 +51,13 @@ class Fixture:
         return self._store("contigs", self._contigs)
 
     def _contigs(self, parts: int) -> DataFrame:
-        letters = F.lower(F.regexp_replace("text", "[^A-Za-z]", ""))
+        letters = F.split(F.regexp_replace("text", r"[^\p{L}]", ""), "")
+        bases = F.transform(letters, lambda c: F.substring(F.lit("ACGT"), F.ascii(c) % 4 + 1, F.lit(1)))
         return (self.table("documents").repartitionByRange(parts, "doc_id")
                 .select(F.col("doc_id").cast("int").alias("contig_idx"),
                         F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("contig"),
-                        F.translate(letters, LETTERS, AS_BASES).alias("seq"))
+                        F.array_join(F.when(F.regexp_count("text", F.lit(r"\p{L}")) > 0, bases).otherwise(F.array()), "")
+                        .alias("seq"))
                 .withColumn("contig_len", F.length("seq"))
                 .filter("contig_len > 0"))
 
@@ -69,19 +71,24 @@ class Fixture:
 
     @cached_property
     def hosts(self) -> DataFrame:
-        """Contigs long enough for fragments, with capture start and indel anchor."""
-        return (self.contigs.filter(F.col("contig_len") >= MIN_CONTIG)
+        """Contigs long enough for fragments, with a dense number, capture start and indel anchor."""
+        return self._store("hosts", self._hosts)
+
+    def _hosts(self, parts: int) -> DataFrame:
+        long = self.contigs.filter(F.col("contig_len") >= MIN_CONTIG)
+        number = scaling.dense_ordinal(long.select("contig_idx"), "contig_idx", name="host_no")
+        return (long.join(number, "contig_idx").repartitionByRange(parts, "contig_idx")
                 .withColumn("w0", ((F.col("contig_idx") * 37) % (F.col("contig_len") - 290)).cast("int"))
                 .withColumn("anchor", F.col("w0") + 40))
 
     def _fragments(self) -> DataFrame:
-        n_docs = self.table("documents").count()
+        n_hosts = self.hosts.count()
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("fid"),
-            F.expr(f"cast((o_orderkey * 13 + o_custkey * 7) % {n_docs} AS int)").alias("contig_idx"),
+            F.expr(f"(o_orderkey * 13 + o_custkey * 7) % {max(n_hosts, 1)}").alias("host_no"),
             F.expr("o_orderkey * 7919 + o_custkey * 31").alias("x"),
             F.expr("cast(150 + (o_custkey % 10) * 5 AS int)").alias("isize"))
-        frag = orders.join(self.hosts, "contig_idx").withColumns({
+        frag = orders.join(self.hosts, "host_no").withColumns({
             "fstart": F.expr("cast(CASE WHEN fid % 8 <> 0 THEN w0 + (x % 20) * 3 "
                              "ELSE x % (contig_len - 260) END AS int)"),
             "hap": F.expr("cast(fid % 2 AS int)"),
@@ -128,7 +135,7 @@ class Fixture:
             F.expr("CASE WHEN mate = 1 THEN isize ELSE -isize END").alias("tlen"),
             seq.alias("seq"), quals.alias("quals"),
             F.struct(F.concat(F.lit("rg"), group).alias("id"), F.lit("s1").alias("sample"),
-                     F.concat(F.lit("lib"), F.expr("cast(fid % 3 % 2 AS string)")).alias("library"),
+                     F.when(F.col("fid") % 3 < 2, F.concat(F.lit("lib"), group)).alias("library"),
                      F.lit("ILLUMINA").alias("platform"), F.lit("1").alias("unit")).alias("read_group"),
             F.expr("map('NM', 'i:0')").alias("tags")).sortWithinPartitions("contig_idx", "pos", "fid")
 

@@ -93,12 +93,12 @@ _ALN_SEQ = """aln_seq AS (SELECT a.*, s.seq, s.qual FROM alignments a JOIN (
 READ_SAM = with_chain("""SELECT read_name, mate, flag, place AS contig_idx, contig, pos, mapq, cigar, mate_contig, mate_pos,
   tlen, seq, qual, library, 'i:0' AS nm FROM aln_seq JOIN contig_order USING (contig_idx)""", _ORDER, _ALN_SEQ)
 
-READ_SAM_HEADER = with_chain("""SELECT record_type, count(*) AS "lines", CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes,
-  CAST(sum(len) AS BIGINT) AS total_length FROM header GROUP BY record_type
-  UNION ALL SELECT 'all', count(*), CAST(sum(strlen(line) + 1) AS BIGINT), NULL FROM header""", """header AS (
+READ_SAM_HEADER = with_chain("""SELECT record_type, count(*) * 2 AS "lines", CAST(sum(strlen(line) + 1) * 2 AS BIGINT) AS bytes,
+  CAST(sum(len) * 2 AS BIGINT) AS total_length FROM header GROUP BY record_type
+  UNION ALL SELECT 'all', count(*) * 2, CAST(sum(strlen(line) + 1) * 2 AS BIGINT), NULL FROM header""", """header AS (
   SELECT 'HD' record_type, concat('@HD', chr(9), 'VN:1.6', chr(9), 'SO:coordinate') line, NULL::BIGINT len
   UNION ALL SELECT 'SQ', concat('@SQ', chr(9), 'SN:', contig, chr(9), 'LN:', contig_len), contig_len FROM contigs
-  UNION ALL SELECT DISTINCT 'RG', concat('@RG', chr(9), 'ID:', read_group, chr(9), 'SM:s1', chr(9), 'LB:', library,
+  UNION ALL SELECT DISTINCT 'RG', concat('@RG', chr(9), 'ID:', read_group, chr(9), 'SM:s1', coalesce(chr(9) || 'LB:' || library, ''),
     chr(9), 'PL:ILLUMINA', chr(9), 'PU:1'), NULL::BIGINT FROM alignments)""")
 
 COUNT_CONTIGS = with_chain("SELECT count(*) AS contigs FROM contigs")
@@ -121,7 +121,10 @@ REGION_SCAN = with_chain("""SELECT read_name, mate, a.contig_idx, pos, cigar FRO
   JOIN (SELECT contig_idx, contig_len FROM contigs ORDER BY contig_len DESC, contig_idx LIMIT 1) t
   ON a.contig_idx = t.contig_idx AND pos <= t.contig_len // 2 AND ref_end >= 1""")
 
-WRITE_VARIANTS = with_chain("SELECT contig, pos, '.' AS id, ref, alt FROM snps", PILE, PILE10, *_sites(2))
+WRITE_VARIANTS = with_chain("""SELECT s.contig, s.pos, '.' AS id, ref, alt, count(*) AS depth,
+  CASE WHEN gt = '0/1' THEN round((dp - ad) / dp::DOUBLE, 6) END AS allele_balance,
+  round(count(*) FILTER (p.base = '*') / count(*)::DOUBLE, 6) AS spanning_deletions FROM snps s
+  JOIN pile_all p ON p.contig_idx = s.contig_idx AND p.pos = s.pos GROUP BY ALL""", PILE, PILE10, *_sites(2))
 
 CHUNK_READS = with_chain("""SELECT read_name, mate, o AS ordinal, o // 1000 AS chunk
   FROM (SELECT *, row_number() OVER (PARTITION BY mate ORDER BY fid) - 1 o FROM alignments)""")
@@ -179,15 +182,14 @@ _HITS = [
        FROM seen JOIN raw_reads r ON r.seq = seen.seq WHERE nm <= 4)""",
 ]
 
-ALIGN_READS = with_chain("""SELECT read_name, mate, strand, nm, count(*) AS loci,
-  min(contig_idx) AS contig_idx, arg_min(pos, contig_idx::BIGINT * 4294967296 + pos) AS pos FROM hits GROUP BY ALL""", *_HITS)
+ALIGN_READS = with_chain("SELECT read_name, mate, strand, nm, contig_idx, pos FROM hits", *_HITS)
 
 SELECT_SINGLE_END = with_chain("""SELECT read_name, mate, contig_idx, pos, strand, nm, n_best, n_hits,
   CASE WHEN n_best > 1 THEN 0 ELSE 60 END AS mapq FROM (
   SELECT *, count(*) OVER (PARTITION BY read_name, mate) n_hits, count(*) OVER (PARTITION BY read_name, mate, nm) n_best,
     row_number() OVER (PARTITION BY read_name, mate ORDER BY nm, contig_idx, pos, strand) rk FROM hits) WHERE rk = 1""", *_HITS)
 
-PAIR_ALIGNMENTS = with_chain("""SELECT read_name, CAST(m AS INT) AS mate,
+_PAIRS = """SELECT read_name, CAST(m AS INT) AS mate,
   CAST(CASE WHEN m = 1 THEN 67 + CASE WHEN strand = '-' THEN 16 ELSE 0 END + CASE WHEN strand2 = '-' THEN 32 ELSE 0 END
        ELSE 131 + CASE WHEN strand2 = '-' THEN 16 ELSE 0 END + CASE WHEN strand = '-' THEN 32 ELSE 0 END END AS INT) AS flag,
   contig_idx, CASE WHEN m = 1 THEN pos ELSE pos2 END AS pos, CASE WHEN m = 1 THEN nm ELSE nm2 END AS nm,
@@ -200,7 +202,9 @@ PAIR_ALIGNMENTS = with_chain("""SELECT read_name, CAST(m AS INT) AS mate,
     FROM places a JOIN places b ON a.read_name = b.read_name AND a.contig_idx = b.contig_idx AND a.mate = 1 AND b.mate = 2
       AND a.strand <> b.strand
     QUALIFY row_number() OVER (PARTITION BY a.read_name ORDER BY a.nm + b.nm, off, a.contig_idx, a.pos, b.pos) = 1))
-  CROSS JOIN (VALUES (1), (2)) v(m)""",
+  CROSS JOIN (VALUES (1), (2)) v(m)"""
+PAIR_ALIGNMENTS_OF_HITS = with_chain(_PAIRS, *_HITS, "places AS (SELECT *, pos + 49 e FROM hits)")
+PAIR_ALIGNMENTS = with_chain(_PAIRS,
   """places AS (SELECT read_name, mate, contig_idx, CAST(pos + o AS INT) pos, ref_end + o e,
     CASE WHEN (mate = 1) = (o <> 23) THEN '+' ELSE '-' END strand,
     CAST(CASE o WHEN 0 THEN (fid + mate) % 3 WHEN 17 THEN (fid * 7 + mate) % 3 ELSE (fid * 5 + mate * 2) % 3 END AS INT) nm
@@ -231,12 +235,12 @@ MARK_DUPLICATES = with_chain("""SELECT a.read_name, mate, CASE WHEN rk > 1 THEN
   JOIN (SELECT fid, row_number() OVER (PARTITION BY library, contig_idx, p1, p2 ORDER BY score DESC, read_name) rk FROM frags) f
   ON f.fid = a.fid""", _FRAGS)
 
-DUPLICATION_METRICS = with_chain("""SELECT library, n AS pairs, 0::BIGINT AS singles, n - c AS pair_duplicates,
+DUPLICATION_METRICS = with_chain("""SELECT coalesce(library, 'unknown') AS library, n AS pairs, 0::BIGINT AS singles, n - c AS pair_duplicates,
   0::BIGINT AS single_duplicates, round((n - c) * 2 / (n * 2)::DOUBLE, 6) AS percent_duplication,
   CASE WHEN c < n THEN CAST(round(c * (lo + hi) / 2) AS BIGINT) END AS estimated_library_size
   FROM solve WHERE it = 60""", _FRAGS,
   "per_lib AS (SELECT library, CAST(sum(k) AS BIGINT) n, count(*) c FROM (SELECT library, count(*) k FROM frags GROUP BY library, contig_idx, p1, p2) GROUP BY library)",
-  """solve AS (SELECT library, n, c, 1.0::DOUBLE lo, 1e6::DOUBLE hi, 0 it FROM per_lib
+  """solve AS (SELECT library, n, c, 1.0::DOUBLE lo, n::DOUBLE * n / (2::DOUBLE * c * greatest(n - c, 1)) + 1 hi, 0 it FROM per_lib
   UNION ALL SELECT library, n, c,
     CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN (lo + hi) / 2 ELSE lo END,
     CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN hi ELSE (lo + hi) / 2 END, it + 1
@@ -398,11 +402,11 @@ INSERT_SIZE_HISTOGRAM = with_chain("SELECT 'FR' AS orientation, tlen AS size, co
 
 LIBRARY_COMPLEXITY = with_chain("""SELECT set_size, sets, CASE WHEN c < n THEN CAST(round(c * (lo + hi) / 2) AS BIGINT) END AS unique_estimate
   FROM hist CROSS JOIN solve WHERE it = 60""",
-  """heads AS (SELECT l.l, r.r, count(*) set_size FROM (SELECT fid, substr(seq, 1, 5) l FROM raw_reads WHERE mate = 1) l
-  JOIN (SELECT fid, substr(seq, 1, 5) r FROM raw_reads WHERE mate = 2) r ON l.fid = r.fid GROUP BY ALL)""",
+  """heads AS (SELECT l.l, r.r, count(*) set_size FROM (SELECT fid, seq l FROM raw_reads WHERE mate = 1) l
+  JOIN (SELECT fid, seq r FROM raw_reads WHERE mate = 2) r ON l.fid = r.fid GROUP BY ALL)""",
   "hist AS (SELECT set_size, count(*) sets FROM heads GROUP BY set_size)",
   "tot AS (SELECT CAST(sum(set_size * sets) AS BIGINT) n, CAST(sum(sets) AS BIGINT) c FROM hist)",
-  """solve AS (SELECT n, c, 1.0::DOUBLE lo, 1e6::DOUBLE hi, 0 it FROM tot
+  """solve AS (SELECT n, c, 1.0::DOUBLE lo, n::DOUBLE * n / (2::DOUBLE * c * greatest(n - c, 1)) + 1 hi, 0 it FROM tot
   UNION ALL SELECT n, c,
     CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN (lo + hi) / 2 ELSE lo END,
     CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN hi ELSE (lo + hi) / 2 END, it + 1
@@ -411,7 +415,7 @@ LIBRARY_COMPLEXITY = with_chain("""SELECT set_size, sets, CASE WHEN c < n THEN C
 _DEPTH = [
     "cover AS (SELECT contig_idx, rpos pos, count(*) n FROM bases1 WHERE rpos IS NOT NULL GROUP BY ALL)",
     "spots AS (SELECT DISTINCT contig_idx, CAST(unnest(range(start_pos, end_pos + 1)) AS INT) pos FROM targets)",
-    "depths AS (SELECT s.contig_idx, s.pos, least(coalesce(n, 0), 5000) AS depth FROM spots s LEFT JOIN cover c ON c.contig_idx = s.contig_idx AND c.pos = s.pos)",
+    "depths AS (SELECT s.contig_idx, s.pos, coalesce(n, 0) AS depth FROM spots s LEFT JOIN cover c ON c.contig_idx = s.contig_idx AND c.pos = s.pos)",
 ]
 DEPTH_OF_COVERAGE = with_chain("SELECT * FROM depths", *_DEPTH)
 DEPTH_SUMMARY = with_chain("""SELECT count(*) AS positions, round(sum(depth) / count(*)::DOUBLE, 6) AS mean_depth,

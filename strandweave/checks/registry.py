@@ -73,15 +73,18 @@ def _sam_header(fx: Fixture) -> DataFrame:
         F.concat(F.lit("@SQ\tSN:"), F.col("contig"), F.lit("\tLN:"), F.col("contig_len").cast("string")).alias("value"))
     rg = fx.alignments.select("read_group.*").distinct().select(
         F.lit(2).alias("k"), F.substring("id", 3, 9).cast("int").alias("n"),
-        F.concat(F.lit("@RG\tID:"), "id", F.lit("\tSM:"), "sample", F.lit("\tLB:"), "library",
-                 F.lit("\tPL:"), "platform", F.lit("\tPU:"), "unit").alias("value"))
+        F.concat_ws("\t", F.lit("@RG"), F.concat(F.lit("ID:"), "id"), F.concat(F.lit("SM:"), "sample"),
+                    F.concat(F.lit("LB:"), "library"), F.concat(F.lit("PL:"), "platform"),
+                    F.concat(F.lit("PU:"), "unit")).alias("value"))
     hd = fx.spark.createDataFrame([(0, 0, "@HD\tVN:1.6\tSO:coordinate")], "k int, n int, value string")
     return hd.unionByName(sq).unionByName(rg)
 
 
 def _sam_folder(fx: Fixture) -> str:
+    """Two files with the same header, and the alignments, as a set of chunks is."""
     path = scratch_path(fx.spark, "sam")
-    _sam_header(fx).coalesce(1).sortWithinPartitions("k", "n").select("value").write.text(path)
+    for _ in range(2):
+        _sam_header(fx).coalesce(1).sortWithinPartitions("k", "n").select("value").write.mode("append").text(path)
     writers.sam_lines(fx.alignments).write.mode("append").text(path)
     return path
 
@@ -133,7 +136,9 @@ def _read_known_sites(fx):
     head = fx.spark.createDataFrame([("##fileformat=VCFv4.2",), ("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO",)], "value string")
     alt = F.concat_ws(",", "alt", F.when(F.col("pos") % 2 == 0, F.translate("ref", "ACGT", "CATG")))
     name = F.when(F.col("pos") % 3 == 0, ".").otherwise(F.col("id"))
-    body = sites.select(F.concat_ws("\t", "contig", F.col("pos").cast("string"), name, "ref", alt,
+    pad = F.when(F.col("pos") % 5 == 0, "GA").otherwise("")  # alleles with shared ends, which the reader trims
+    alt = F.regexp_replace(alt, "([ACGT])", F.concat(F.lit("$1"), pad))
+    body = sites.select(F.concat_ws("\t", "contig", F.col("pos").cast("string"), name, F.concat("ref", pad), alt,
                                     F.lit("."), F.lit("."), F.lit(".")).alias("value"))
     head.coalesce(1).write.text(path)
     body.write.mode("append").text(path)
@@ -173,10 +178,15 @@ def _region_scan(fx):
 
 @query("write_variants", O.WRITE_VARIANTS)
 def _write_variants(fx):
-    """Calls written as VCF text and read back as sites."""
-    path = scratch_path(fx.spark, "calls")
-    writers.write_variants(call.call_snps(_pile(fx)), path)
-    return readers.read_known_sites(fx.spark, f"{path}/vcf")
+    """Annotated calls written as VCF text and read back with their annotations."""
+    path, every = scratch_path(fx.spark, "calls"), _pile(fx, 0)
+    calls = annotate.ann_allele_balance(call.call_snps(_pile(fx)))
+    calls = annotate.ann_spanning_deletions(annotate.ann_depth(calls, every), every)
+    writers.write_variants(calls, path, contigs=fx.contig_lengths)
+    info = lambda key, kind: F.try_element_at("info", F.lit(key)).cast(kind)
+    return readers.read_variants(fx.spark, f"{path}/vcf").select(
+        "contig", "pos", "id", "ref", "alt", info("DP", "bigint").alias("depth"),
+        info("ABHet", "double").alias("allele_balance"), info("Dels", "double").alias("spanning_deletions"))
 
 
 @query("write_metrics", O.QUALITY_DISTRIBUTION)
@@ -259,11 +269,8 @@ def _trim_reads(fx):
 
 @query("align_reads", O.ALIGN_READS)
 def _align_reads(fx):
-    """Ungapped placements per read, strand and number of differences."""
-    hits = align.align_reads(fx.reads, fx.blocks, max_gap=0)
-    return hits.groupBy("read_name", "mate", "strand", "nm").agg(
-        F.sum("n_loci").alias("loci"), F.min(F.struct("contig_idx", "pos")).alias("p")) \
-        .select("read_name", "mate", "strand", "nm", "loci", "p.contig_idx", "p.pos")
+    """Every ungapped placement of every read."""
+    return align.align_reads(fx.reads, fx.blocks, max_gap=0).select("read_name", "mate", "strand", "nm", "contig_idx", "pos")
 
 
 @query("align_reads_gapped")
@@ -298,6 +305,13 @@ def _pair_alignments(fx):
         "read_name", "mate", "flag", "contig_idx", "pos", "nm", "mate_pos", "tlen")
 
 
+@query("pair_alignments_of_hits", O.PAIR_ALIGNMENTS_OF_HITS)
+def _pair_alignments_of_hits(fx):
+    """Pairs among all placements that the aligner finds, repeats included."""
+    return align.pair_alignments(align.align_reads(fx.reads, fx.blocks, max_gap=0), median_insert=170).select(
+        "read_name", "mate", "flag", "contig_idx", "pos", "nm", "mate_pos", "tlen")
+
+
 @query("attach_read_group", O.ATTACH_READ_GROUP)
 def _attach_read_group(fx):
     rows = prepare.attach_read_group(fx.alignments, "run7", "NA1", "libX", "ILLUMINA", "1")

@@ -99,14 +99,18 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list, n: int,
 
 
 def lookup_join(df: DataFrame, small: DataFrame, keys: list[str], salt_on: list[str],
-                how: str = "inner", max_rows: int = 1_000, salts: int = 64) -> DataFrame:
+                how: str = "inner", max_rows: int = 1_000, salts: int = 64,
+                max_bytes: int = 8 << 20) -> DataFrame:
     """Join a large table to one whose few keys are hot by nature (read groups).
 
-    Counted first: up to ``max_rows`` rows are broadcast. Beyond that the small
-    side is repeated per salt and the large side draws its salt from a hash, so
-    one hot key is divided over ``salts`` tasks.
+    Measured first: up to ``max_rows`` rows of together at most ``max_bytes`` (as
+    text) are broadcast. Beyond that the small side is repeated per salt and the
+    large side draws its salt from a hash, so one hot key is divided over
+    ``salts`` tasks.
     """
-    if small.limit(max_rows + 1).count() <= max_rows:
+    width = F.octet_length(F.to_json(F.struct(*small.columns)))
+    rows, size = small.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    if rows <= max_rows and size <= max_bytes:
         return df.join(F.broadcast(small), keys, how)
     left = df.withColumn("_salt", F.pmod(F.hash(*salt_on), F.lit(salts)))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

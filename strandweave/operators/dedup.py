@@ -13,6 +13,12 @@ from ..functions import cigar as C
 from ..functions.bases import has_flag
 
 SCORED_QUALITY = 15
+#: Reads without a group, or of a group without a library, count as one library of this name.
+NO_LIBRARY = "unknown"
+
+
+def _library():
+    return F.coalesce(F.col("read_group.library"), F.lit(NO_LIBRARY))
 
 
 def fragments(df: DataFrame) -> DataFrame:
@@ -21,7 +27,7 @@ def fragments(df: DataFrame) -> DataFrame:
     reverse = has_flag(flag, M.REVERSE)
     score = F.aggregate("quals", F.lit(0), lambda acc, q: acc + F.when(q >= SCORED_QUALITY, q).otherwise(0))
     ends = df.filter(~has_flag(flag, M.UNMAPPED | M.NOT_PRIMARY)).select(
-        F.col("read_group.library").alias("library"), "read_name", "mapq",
+        _library().alias("library"), "read_name", "mapq",
         # position and strand packed to one number per end: aggregates in place
         (F.col("contig_idx").cast("bigint") * (1 << 32)
          + C.five_prime(F.col("pos"), F.col("cigar"), reverse).cast("bigint") * 2
@@ -47,8 +53,7 @@ def mark_duplicates(df: DataFrame, remove: bool = False) -> DataFrame:
     """
     flag = F.col("flag")
     judged = ~has_flag(flag, M.UNMAPPED | M.NOT_PRIMARY)
-    rows = df.withColumn("library", F.col("read_group.library")) \
-        .join(_winners(fragments(df)), ["library", "read_name"], "left")
+    rows = df.withColumn("library", _library()).join(_winners(fragments(df)), ["library", "read_name"], "left")
     clear = flag.bitwiseAND(F.lit(~M.DUPLICATE))
     duplicate = judged & F.col("_best").isNull()
     rows = rows.withColumn("flag", F.when(duplicate, clear.bitwiseOR(F.lit(M.DUPLICATE)))
@@ -62,7 +67,7 @@ def duplication_metrics(df: DataFrame) -> DataFrame:
     """Per library: pairs, singles, duplicates, their share, estimated library size.
 
     ``df`` needs no marking. The size solves ``unique = size (1 - exp(-pairs / size))``
-    by forty halvings on the per-library rows.
+    by sixty halvings on the per-library rows.
     """
     groups = fragments(df).groupBy("library", "end_a", "end_b", "ends").agg(F.count(F.lit(1)).alias("n"))
     pair = F.col("ends") == 2
@@ -82,7 +87,9 @@ def duplication_metrics(df: DataFrame) -> DataFrame:
 def library_size(observed, unique):
     """Molecules in the library when ``unique`` of ``observed`` draws differ; NULL without copies."""
     n, c = observed.cast("double"), unique.cast("double")
-    start = F.struct(F.lit(1.0).alias("lo"), F.lit(1e6).alias("hi"))
+    # 1 - exp(-t) >= t - t^2 / 2 puts the root below this end, however few the copies
+    most = n * n / (F.lit(2.0) * c * F.greatest(n - c, F.lit(1.0))) + 1
+    start = F.struct(F.lit(1.0).alias("lo"), most.alias("hi"))
 
     def halve(acc, _):
         mid = (acc["lo"] + acc["hi"]) / 2

@@ -32,32 +32,30 @@ def contig_read_counts(df: DataFrame, contigs: DataFrame) -> DataFrame:
 def hs_metrics(df: DataFrame, baits: DataFrame, targets: DataFrame, genome_length: int | None = None) -> DataFrame:
     """Bases on, near and off the baits; coverage of the targets; fold enrichment.
 
-    Target bases without reads count through the known target length, so no
-    zero rows are made.
+    One join of the reads with all intervals, labelled, and one sum over the
+    reads. Target bases without reads count through the known target length, so
+    no zero rows are made.
     """
     ranges = match_ranges(df)
-    bait = merge_intervals(baits)
     wide = merge_intervals(baits.select(
         "contig_idx", F.greatest(F.col("start") - NEAR, F.lit(1)).alias("start"), (F.col("end") + NEAR).alias("end")))
-    target = merge_intervals(targets)
-
-    def inside(intervals, name):
-        shared = F.least("end", "iv_end") - F.greatest("start", "iv_start") + 1
-        return overlap_join(ranges, intervals).agg(F.coalesce(F.sum(shared.cast("bigint")), F.lit(0)).alias(name))
-
-    def size(intervals, name):
-        return intervals.agg(F.sum((F.col("end") - F.col("start") + 1).cast("bigint")).alias(name))
-
+    named = [i.select("contig_idx", "start", "end", F.lit(kind).alias("kind")) for kind, i in (
+        ("bait", merge_intervals(baits)), ("wide", wide), ("target", merge_intervals(targets)))]
+    labelled = named[0].unionByName(named[1]).unionByName(named[2])
+    of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
     total = ranges.agg(F.coalesce(F.sum((F.col("end") - F.col("start") + 1).cast("bigint")), F.lit(0)).alias("bases"))
-    on_target = overlap_join(ranges, target).select(
-        "contig_idx", F.greatest("start", "iv_start").alias("start"), F.least("end", "iv_end").alias("end"))
-    runs = coverage_runs(on_target)
+    inside = overlap_join(ranges, labelled).select(
+        F.struct("kind", "contig_idx").alias("contig_idx"), F.greatest("start", "iv_start").alias("start"),
+        F.least("end", "iv_end").alias("end"))
+    runs = coverage_runs(inside).withColumn("kind", F.col("contig_idx.kind"))
     length = (F.col("end") - F.col("start") + 1).cast("bigint")
+    zero = lambda c: F.coalesce(c, F.lit(0))
     covered = runs.agg(
-        F.coalesce(F.sum(length * F.col("depth")), F.lit(0)).alias("target_bases"),
-        *[F.coalesce(F.sum(F.when(F.col("depth") >= n, length)), F.lit(0)).alias(f"at_{n}") for n in COVERAGE_STEPS])
-    parts = [total, inside(bait, "on_bait"), inside(wide, "in_reach"), covered,
-             size(target, "target_length"), size(bait, "bait_length")]
+        *[zero(of(kind, length * F.col("depth"))).alias(name) for kind, name in (
+            ("bait", "on_bait"), ("wide", "in_reach"), ("target", "target_bases"))],
+        *[zero(of("target", F.when(F.col("depth") >= n, length))).alias(f"at_{n}") for n in COVERAGE_STEPS])
+    sizes = labelled.agg(of("target", length).alias("target_length"), of("bait", length).alias("bait_length"))
+    parts = [total, covered, sizes]
     row = parts[0].withColumn("_one", F.lit(1))
     for part in parts[1:]:
         row = row.join(part.withColumn("_one", F.lit(1)), "_one")
@@ -198,28 +196,28 @@ def insert_size_metrics(df: DataFrame) -> DataFrame:
         F.min("size").alias("min_size"), F.max("size").alias("max_size"))
 
 
-def library_complexity(pairs: DataFrame, prefix: int = 5) -> DataFrame:
-    """Sizes of the sets of pairs whose two reads begin with equal bases.
+def library_complexity(pairs: DataFrame) -> DataFrame:
+    """Sizes of the sets of pairs whose two reads have equal bases, over their whole length.
 
     ``unique_estimate`` repeats the estimated number of molecules on every row.
     """
-    head = [F.substring("left_seq", 1, prefix).alias("l"), F.substring("right_seq", 1, prefix).alias("r")]
-    sets = pairs.filter((F.length("left_seq") >= prefix) & (F.length("right_seq") >= prefix)) \
-        .groupBy(*head).agg(F.count(F.lit(1)).alias("set_size"))
+    sets = pairs.filter(F.col("left_seq").isNotNull() & F.col("right_seq").isNotNull()) \
+        .groupBy("left_seq", "right_seq").agg(F.count(F.lit(1)).alias("set_size"))
     hist = sets.groupBy("set_size").agg(F.count(F.lit(1)).alias("sets"))
     whole = Window.partitionBy()  # one row per distinct set size
     return hist.withColumn("unique_estimate", library_size(
         F.sum(F.col("set_size") * F.col("sets")).over(whole), F.sum("sets").over(whole)))
 
 
-def depth_of_coverage(df: DataFrame, intervals: DataFrame, cap: int = 5000) -> DataFrame:
-    """Depth at every interval position, zeros included, at most ``cap``."""
+def depth_of_coverage(df: DataFrame, intervals: DataFrame, cap: int | None = None) -> DataFrame:
+    """Depth at every interval position, zeros included; at most ``cap`` if one is given."""
     merged = merge_intervals(intervals)
     inside = overlap_join(match_ranges(df), merged).select(
         "contig_idx", F.greatest("start", "iv_start").alias("start"), F.least("end", "iv_end").alias("end"))
     runs = coverage_runs(inside)
     at = F.explode(F.sequence("start", "end")).alias("pos")
-    depth = runs.select("contig_idx", at, F.least(F.col("depth"), F.lit(cap)).alias("depth"))
+    shown = F.col("depth") if cap is None else F.least(F.col("depth"), F.lit(cap))
+    depth = runs.select("contig_idx", at, shown.alias("depth"))
     return merged.select("contig_idx", at).join(depth, ["contig_idx", "pos"], "left").na.fill(0, ["depth"])
 
 

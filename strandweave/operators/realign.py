@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from ..functions.alleles import trimmed
 from ..functions.bases import bind
-from ..functions.intervals import merge_intervals, overlap_join
+from ..functions.intervals import merge_many, overlap_join
 from ..functions.scaling import cut_lineage
 from .call import indel_events
 from .pileup import callable_reads
@@ -13,11 +14,15 @@ from .reference import reference_pieces
 
 
 def _known(known_indels: DataFrame) -> DataFrame:
-    """VCF-style indels as ``contig_idx, pos`` (base before), ``gone`` bases and ``ins``."""
-    return known_indels.select(
-        "contig_idx", "pos", F.greatest(F.length("ref") - F.length("alt"), F.lit(0)).alias("gone"),
-        F.when(F.length("alt") > F.length("ref"), F.substring("alt", F.length("ref") + 1, F.length("alt")))
-        .otherwise("").alias("ins"))
+    """VCF-style indels as ``contig_idx, pos`` (base before), ``gone`` bases and ``ins``.
+
+    Shared ends are trimmed first. Substitutions are no candidates, nor are alleles that both delete and insert.
+    """
+    sites = trimmed(known_indels)
+    one = (F.length("ref") == 1) != (F.length("alt") == 1)
+    return sites.filter(one & (F.substring("ref", 1, 1) == F.substring("alt", 1, 1))).select(
+        "contig_idx", "pos", (F.length("ref") - 1).alias("gone"),
+        F.substring("alt", F.lit(2), F.length("alt")).alias("ins"))
 
 
 def _observed(df: DataFrame) -> DataFrame:
@@ -37,7 +42,7 @@ def candidate_indels(df: DataFrame, known_indels: DataFrame | None) -> DataFrame
 def realign_targets(df: DataFrame, known_indels: DataFrame | None, pad: int = 10) -> DataFrame:
     """Padded ranges around observed and known indels, overlapping ones merged."""
     spots = candidate_indels(df, known_indels)
-    return merge_intervals(spots.select(
+    return merge_many(spots.select(
         "contig_idx", F.greatest(F.col("pos") - pad, F.lit(1)).alias("start"),
         (F.col("pos") + F.greatest(F.col("gone"), F.lit(1)) + pad).alias("end")))
 

@@ -24,7 +24,7 @@ class RunOptions:
     max_gap: int = 10
     remove_duplicates: bool = False
     min_base_quality: int = 10
-    depth_cap: int = 1000
+    depth_cap: int | None = None
     min_indel_fraction: float = 0.1
     confidence: float = 30
     skip: frozenset[str] = frozenset()
@@ -59,7 +59,9 @@ def call_variants(alignments: DataFrame, blocks: DataFrame, known_ids: DataFrame
                   intervals: DataFrame | None = None, options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
     """``snps`` (with ids and annotations), ``indels``, and ``caller_metrics``."""
     reads = pileup.restrict_to_intervals(alignments, intervals)
-    pile = pileup.downsample_coverage(pileup.pileup(reads, blocks, options.min_base_quality), options.depth_cap)
+    pile = pileup.pileup(reads, blocks, options.min_base_quality)
+    if options.depth_cap is not None:
+        pile = pileup.downsample_coverage(pile, options.depth_cap)
     every = pileup.pileup(reads, blocks, 0)
     snps = stored(call.call_snps(pile, options.confidence, options.confidence), "snps")
     snps = annotate.annotate_known_ids(snps, known_ids)

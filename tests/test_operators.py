@@ -54,6 +54,8 @@ def test_overlap_join_merge_and_coverage(spark):
     merged = I.merge_intervals(r).collect()
     assert {(m.contig_idx, p) for m in merged for p in range(m.start, m.end + 1)} == \
         {(b[0], p) for b in right for p in range(b[1], b[2] + 1)}
+    again = I.merge_many(r.repartition(9)).collect()
+    assert sorted((m.contig_idx, m.start, m.end) for m in again) == sorted((m.contig_idx, m.start, m.end) for m in merged)
     depth = {}
     for c, a, b in left:
         for p in range(a, b + 1):
@@ -200,3 +202,35 @@ def test_results_do_not_depend_on_partitions(spark, fx):
     base = call.call_snps(pileup.pileup(fx.alignments, fx.blocks))
     other = call.call_snps(pileup.pileup(fx.alignments.repartition(5), fx.blocks.repartition(3)))
     assert base.exceptAll(other).isEmpty() and other.exceptAll(base).isEmpty()
+
+
+def test_every_order_gives_two_reads(spark, fx):
+    assert fx.alignments.count() == 2 * fx.table("orders").count()
+    letters = fx.table("documents").selectExpr("sum(regexp_count(text, r'\\p{L}')) n").first()["n"]
+    assert fx.contigs.selectExpr("sum(contig_len) n").first()["n"] == letters
+
+
+def test_duplicates_without_a_library(spark, fx):
+    one = fx.alignments.filter("mate = 1 and read_name in ('r1', 'r2')").limit(1)
+    from strandweave import model as M
+    group = F.lit(None).cast(one.schema["read_group"].dataType)
+    rows = one.select(*one.columns).withColumn("read_group", group)
+    copies = rows.crossJoin(spark.createDataFrame([("a",), ("b",), ("c",)], "n string")).withColumn("read_name", F.col("n")).drop("n")
+    other = copies.filter("read_name = 'a'").withColumn("read_name", F.lit("z")).withColumn("pos", F.col("pos") + 7)
+    marked = {r.read_name: bool(r.flag & M.DUPLICATE) for r in dedup.mark_duplicates(copies.unionByName(other)).collect()}
+    assert marked == {"a": False, "b": True, "c": True, "z": False}
+    assert dedup.mark_duplicates(copies.unionByName(other), remove=True).count() == 2
+    assert [r.library for r in dedup.duplication_metrics(copies).collect()] == [dedup.NO_LIBRARY]
+
+
+def test_library_size_of_few_copies(spark):
+    size = dedup.library_size(F.lit(10_000_000), F.lit(9_999_999))
+    found = spark.range(1).select(size.alias("s")).first()["s"]
+    assert found > 10 ** 13  # far more than a million molecules a read
+
+
+def test_known_indel_candidates(spark):
+    rows = [(0, 10, "CAT", "CAT"), (0, 20, "CAT", "GAT"), (0, 30, "ACGT", "ACGTTGC"), (0, 40, "ACGT", "AT"), (0, 50, "ACG", "TA")]
+    known = spark.createDataFrame(rows, "contig_idx int, pos int, ref string, alt string")
+    got = sorted((r.pos, r.gone, r.ins) for r in realign._known(known).collect())
+    assert got == [(33, 0, "TGC"), (40, 2, "")]
