@@ -20,8 +20,15 @@ def _minimum(pairs: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of u to the smallest member of u's neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return (both.join(_minimum(both), "u").filter(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    return both.join(_minimum(both), "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every u hangs on one v that hangs on nothing: then v names the component."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    roles = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.filter("up > 1 or up = 1 and down = 1").isEmpty()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -35,18 +42,13 @@ def connected_components(edges: DataFrame, a: str = "src", b: str = "dst") -> Da
     """(node, component) of every node on an edge; the component's name is its smallest node.
 
     Edges with a null end are left out; a loop makes a component of its node alone; repeated edges change
-    nothing; no edges give no rows. Each round is checkpointed, and one row (a count and a sum of hashes) tells
-    the driver whether the edge set still changes.
+    nothing; no edges give no rows. Each round is checkpointed; the driver learns only whether all are stars yet.
     """
     given = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null")
     now = cut_lineage(given.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    links, before = now.filter("u <> v"), None
-    while True:
-        links = cut_lineage(_small_star(_large_star(links)))
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+    links = now.filter("u <> v")
+    while not _stars(links):
+        links = cut_lineage(_small_star(stored(_large_star(links), "large-stars")))
     roots = now.select(F.col("v").alias("node")).unionByName(now.select(F.col("u").alias("node"))).distinct()
     found = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return (roots.join(found, "node", "left")

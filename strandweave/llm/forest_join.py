@@ -87,7 +87,7 @@ _MEMBERS = pa.schema([("text_key", pa.binary()), ("set_key", pa.binary()), ("lab
 def signatures(texts: DataFrame, trees: int, depth: int, shingle: int) -> DataFrame:
     """(text_key, set_key, labels) of texts with words; labels are null where the task has sent the set before."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, signer, sent = Memo(_word_hash), Signer(trees, depth), Memo(lambda _: False)
+        words, signer, sent = Memo(_word_hash, 150_000), Signer(trees, depth), Memo(lambda _: False, 100_000)
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -156,7 +156,7 @@ def verified(texts: DataFrame, clusters: DataFrame, members: DataFrame, threshol
     rows = texts.select("text_key", "text").join(chosen, "text_key")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Memo(_word_hash)
+        words = Memo(_word_hash, 150_000)
         for batch in batches:
             sets = [shingle_set(t, words, shingle).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("set_key", "cluster", "b", "blocks")],
