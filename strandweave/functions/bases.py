@@ -24,9 +24,7 @@ def bind(value: Column, body) -> Column:
 def differences(a: Column, b: Column) -> Column:
     """Number of places where two equally long texts differ."""
     def count(t):
-        return F.size(F.filter(
-            F.sequence(F.lit(1), F.length(t["a"])),
-            lambda i: F.substring(t["a"], i, F.lit(1)) != F.substring(t["b"], i, F.lit(1))))
+        return F.size(F.filter(F.zip_with(F.split(t["a"], ""), F.split(t["b"], ""), lambda x, y: ~x.eqNullSafe(y)), lambda w: w))
     return bind(F.struct(a.alias("a"), b.alias("b")),
                 lambda t: F.when(t["a"] == t["b"], 0).otherwise(count(t)))
 
@@ -45,10 +43,9 @@ def reverse_complement(seq: Column) -> Column:
 
 def phred_values(qual: Column) -> Column:
     """Printable quality string (offset 33) to an array of integers."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(qual)),
-        lambda i: F.ascii(F.substring(qual, i, F.lit(1))) - 33,
-    )
+    # one pass over the text; cutting a letter out by its number would walk the string each time
+    letters = F.when(F.length(qual) > 0, F.split(qual, "")).otherwise(F.array().cast("array<string>"))
+    return F.when(qual.isNotNull(), F.transform(letters, lambda c: F.ascii(c) - 33))
 
 
 def phred_string(quals: Column) -> Column:

@@ -210,15 +210,18 @@ def library_complexity(pairs: DataFrame) -> DataFrame:
 
 
 def depth_of_coverage(df: DataFrame, intervals: DataFrame, cap: int | None = None) -> DataFrame:
-    """Depth at every interval position, zeros included; at most ``cap`` if one is given."""
+    """Depth at every interval position, zeros included; at most ``cap`` if one is given.
+
+    The intervals, which are disjoint once merged, count as one more read each: the runs of equal depth then cover
+    them whole, and are spread to positions without a join.
+    """
     merged = merge_intervals(intervals)
     inside = overlap_join(match_ranges(df), merged).select(
         "contig_idx", F.greatest("start", "iv_start").alias("start"), F.least("end", "iv_end").alias("end"))
-    runs = coverage_runs(inside)
-    at = F.explode(F.sequence("start", "end")).alias("pos")
-    shown = F.col("depth") if cap is None else F.least(F.col("depth"), F.lit(cap))
-    depth = runs.select("contig_idx", at, shown.alias("depth"))
-    return merged.select("contig_idx", at).join(depth, ["contig_idx", "pos"], "left").na.fill(0, ["depth"])
+    runs = coverage_runs(inside.unionByName(merged.select("contig_idx", "start", "end")))
+    depth = F.col("depth") - 1
+    shown = depth if cap is None else F.least(depth, F.lit(cap))
+    return runs.select("contig_idx", F.explode(F.sequence("start", "end")).alias("pos"), shown.alias("depth"))
 
 
 def depth_summary(depth: DataFrame) -> DataFrame:
