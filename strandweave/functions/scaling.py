@@ -20,9 +20,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+_folders: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{app}-{uuid.uuid4().hex[:8]}"
+    return _folders[app]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the run's folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def close(spark: SparkSession) -> None:
+    """Removes what this application stored with ``stored`` and ``scratch_path``; results must be written before."""
+    folder = _folders.pop(spark.sparkContext.applicationId, None)
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -234,3 +234,13 @@ def test_known_indel_candidates(spark):
     known = spark.createDataFrame(rows, "contig_idx int, pos int, ref string, alt string")
     got = sorted((r.pos, r.gone, r.ins) for r in realign._known(known).collect())
     assert got == [(33, 0, "TGC"), (40, 2, "")]
+
+
+def test_close_removes_what_the_run_stored(spark, monkeypatch):
+    import os
+    monkeypatch.setattr(S, "_folders", {})  # a folder of this test alone
+    kept = S.stored(spark.range(5), "five")
+    folder = S.run_folder(spark).removeprefix("file:")
+    assert kept.count() == 5 and os.listdir(folder)
+    S.close(spark)
+    assert not os.path.exists(folder)
