@@ -174,8 +174,9 @@ def shared_chunks(texts: DataFrame) -> DataFrame:
             yield _batch(rows, _REFS)
 
     found = stored(texts.select("text_key", "text").mapInArrow(refs, "text_key binary, chunk_key binary"), "chunk-refs")
-    shared = (found.groupBy("chunk_key").agg(F.min("text_key").alias("owner"), F.max("text_key").alias("_other"))
-              .filter("owner <> _other").drop("_other"))
+    # stored, so that the join below has two plain shuffles, of which a hot chunk's rows can be split
+    shared = stored(found.groupBy("chunk_key").agg(F.min("text_key").alias("owner"), F.max("text_key").alias("_other"))
+                    .filter("owner <> _other").drop("_other"), "shared-chunks")
     roles = found.join(shared, "chunk_key")
     mine = F.col("owner") == F.col("text_key")
     return roles.groupBy("text_key").agg(F.collect_set(F.when(mine, F.col("chunk_key"))).alias("own"),
@@ -212,7 +213,8 @@ def encode_chunks(texts: DataFrame, roles: DataFrame, path: str) -> DataFrame:
                     rows.append((key, None, None, False, None, None, None, *encoder.digest(encoder.assemble([p for _, p in pieces]))))
             yield _batch(rows, _PIECES)
 
-    joined = texts.join(roles, "text_key", "left").select("text_key", "text", "own", "need")
+    # a merge join at every size: broadcasting the roles of small inputs would only hide what larger ones move
+    joined = texts.hint("merge").join(roles, "text_key", "left").select("text_key", "text", "own", "need")
     return joined.mapInArrow(encode, PIECES)
 
 
@@ -222,7 +224,8 @@ def encoded_digests(docs: DataFrame, text: str = "text", tokenizer: str = "word_
     keyed = with_text_key(docs, text).select("text_key", F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = first_seen(keyed, "text_key", ["text"])
     pieces = stored(encode_chunks(texts, stored(shared_chunks(texts), "chunk-roles"), path), "chunk-pieces")
-    for_all = pieces.filter("shared").select("chunk_key", "head", "tail", "ids").dropDuplicates(["chunk_key"])
+    for_all = stored(pieces.filter("shared").select("chunk_key", "head", "tail", "ids").dropDuplicates(["chunk_key"]),
+                     "shared-pieces")
     waiting = pieces.filter("seq is not null")
     here = ["text_key", "seq", "head", "tail", "ids"]
     complete = (waiting.filter("chunk_key is not null").select("text_key", "seq", "chunk_key")
@@ -247,7 +250,7 @@ def encoded_digests(docs: DataFrame, text: str = "text", tokenizer: str = "word_
     joined = (complete.repartition("text_key").sortWithinPartitions("text_key", "seq")
               .mapInArrow(assemble, "text_key binary, n_tokens long, ids_sha256 string, decoded_sha256 string"))
     alone = pieces.filter("n_tokens is not null").select(*joined.columns)
-    return alone.unionByName(joined).dropDuplicates(["text_key"])
+    return stored(alone.unionByName(joined).dropDuplicates(["text_key"]), "digests")
 
 
 def op6_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
