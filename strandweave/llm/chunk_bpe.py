@@ -75,7 +75,7 @@ class Encoder:
         self.numbers = [b"%d" % i for i in range(size)]
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.lowers = self.whole("ÀB, C.") == self.whole("àb , c .")
-        self.word = Memo(lambda w: self.whole(w) if w else b"")
+        self.word = Memo(lambda w: self.whole(w) if w else b"", 160_000)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -165,12 +165,18 @@ _DONE = pa.schema([_PIECES.field(n) for n in ("text_key", "n_tokens", "ids_sha25
 
 
 def shared_chunks(texts: DataFrame) -> DataFrame:
-    """(text_key, own, need): per text that shares chunks, those it encodes for all and those it receives."""
+    """(text_key, own, need): per text that shares chunks, those it encodes for all and those it receives.
+
+    Texts may be repeated; a task cuts those that it remembers only once.
+    """
     def refs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Memo(lambda _: False, 100_000)
         for batch in batches:
             keys, rows = batch.column(0).to_pylist(), []
             for key, text in zip(keys, batch.column(1).to_pylist(), strict=True):
-                rows += [(key, c) for c in {chunk_key(c) for c in chunks(text or "")}]
+                if not seen[key]:
+                    seen[key] = True
+                    rows += [(key, c) for c in {chunk_key(c) for c in chunks(text or "")}]
             yield _batch(rows, _REFS)
 
     found = stored(texts.select("text_key", "text").mapInArrow(refs, "text_key binary, chunk_key binary"), "chunk-refs")
@@ -223,7 +229,7 @@ def encoded_digests(docs: DataFrame, text: str = "text", tokenizer: str = "word_
     path = tokenizer_path(tokenizer)
     keyed = with_text_key(docs, text).select("text_key", F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = first_seen(keyed, "text_key", ["text"])
-    pieces = stored(encode_chunks(texts, stored(shared_chunks(texts), "chunk-roles"), path), "chunk-pieces")
+    pieces = stored(encode_chunks(texts, stored(shared_chunks(keyed), "chunk-roles"), path), "chunk-pieces")
     for_all = stored(pieces.filter("shared").select("chunk_key", "head", "tail", "ids").dropDuplicates(["chunk_key"]),
                      "shared-pieces")
     waiting = pieces.filter("seq is not null")

@@ -85,12 +85,19 @@ _MEMBERS = pa.schema([("text_key", pa.binary()), ("set_key", pa.binary()), ("lab
 
 
 def signatures(texts: DataFrame, trees: int, depth: int, shingle: int) -> DataFrame:
-    """(text_key, set_key, labels) of texts with words; labels are null where the task has sent the set before."""
+    """(text_key, set_key, labels) of texts with words; labels are null where the task has sent the set before.
+
+    Texts may be repeated; a task signs those that it remembers only once.
+    """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, signer, sent = Memo(_word_hash, 150_000), Signer(trees, depth), Memo(lambda _: False, 100_000)
+        words, signer = Memo(_word_hash, 150_000), Signer(trees, depth)
+        sent, seen = Memo(lambda _: False, 100_000), Memo(lambda _: False, 100_000)
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if seen[key]:
+                    continue
+                seen[key] = True
                 shingles = shingle_set(text, words, shingle)
                 if len(shingles):
                     name = xxhash.xxh3_128_digest(shingles.tobytes())
@@ -205,7 +212,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = THRE
     keyed = with_text_key(docs, text).select("text_key", F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = first_seen(keyed, "text_key", ["text"])
     used = matched_depth(threshold, trees, depth, recall)
-    members = stored(signatures(texts, trees, used, shingle), "members")
+    members = stored(signatures(keyed, trees, used, shingle), "members")
     clusters = stored(candidate_clusters(members), "clusters")
     links = stored(verified(texts, clusters, members, threshold, shingle, block), "links")
     counts = links.groupBy("set_key").agg(F.sum("n_links").alias("n_links"))
