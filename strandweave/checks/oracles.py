@@ -196,14 +196,15 @@ _PAIRS = """SELECT read_name, CAST(m AS INT) AS mate,
   CASE WHEN m = 1 THEN pos2 ELSE pos END AS mate_pos,
   CAST(CASE WHEN (m = 1) = (strand = '+') THEN size ELSE -size END AS INT) AS tlen
   FROM (SELECT *, CASE WHEN d >= 0 THEN d + 1 ELSE d - 1 END size FROM (
-    SELECT a.read_name, a.contig_idx, a.pos, a.strand, a.nm, b.pos pos2, b.strand strand2, b.nm nm2,
-      CASE WHEN a.strand = '+' THEN b.e - a.pos ELSE a.e - b.pos END d,
-      abs(CASE WHEN a.strand = '+' THEN b.e - (a.pos + 169) ELSE b.pos - (a.e - 169) END) off
+    SELECT read_name, x.contig_idx, x.pos, x.strand, x.nm, x.pos2, x.strand2, x.nm2, x.d FROM (
+    SELECT a.read_name, min(struct_pack(k := a.nm + b.nm,
+      off := abs(CASE WHEN a.strand = '+' THEN b.e - (a.pos + 169) ELSE b.pos - (a.e - 169) END),
+      contig_idx := a.contig_idx, pos := a.pos, pos2 := b.pos, strand := a.strand, nm := a.nm, strand2 := b.strand, nm2 := b.nm,
+      d := CASE WHEN a.strand = '+' THEN b.e - a.pos ELSE a.e - b.pos END)) x
     FROM places a JOIN places b ON a.read_name = b.read_name AND a.contig_idx = b.contig_idx AND a.mate = 1 AND b.mate = 2
-      AND a.strand <> b.strand
-    QUALIFY row_number() OVER (PARTITION BY a.read_name ORDER BY a.nm + b.nm, off, a.contig_idx, a.pos, b.pos) = 1))
+      AND a.strand <> b.strand GROUP BY a.read_name)))
   CROSS JOIN (VALUES (1), (2)) v(m)"""
-PAIR_ALIGNMENTS_OF_HITS = with_chain(_PAIRS, *_HITS, "places AS (SELECT *, pos + 49 e FROM hits)")
+PAIR_ALIGNMENTS_OF_HITS = with_chain(_PAIRS, *_HITS, "places AS MATERIALIZED (SELECT *, pos + 49 e FROM hits)")
 PAIR_ALIGNMENTS = with_chain(_PAIRS,
   """places AS (SELECT read_name, mate, contig_idx, CAST(pos + o AS INT) pos, ref_end + o e,
     CASE WHEN (mate = 1) = (o <> 23) THEN '+' ELSE '-' END strand,
