@@ -9,6 +9,7 @@ the input that has the name of the result column is replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +35,23 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 # \+[0-9][\x20().0-9-]+[0-9]
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_DIGITS = re.compile(r"[0-9]+")
+# [A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]){11,30} between word ends; of its ends, that of the country's length
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){0,30}")
+_GROUP, _WORD = re.compile(r"[A-Z0-9]+"), re.compile(r"[A-Za-z0-9]")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9-])")
 _DIGIT = re.compile(r"[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]")
 
+#: Characters of an IBAN by country (ISO 13616 registry).
+IBAN_LENGTH = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+
 #: Score before context, and the words that raise or lower it within ``window`` characters.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9, "short_card": 0.4, "national_id": 0.4,
          "local_phone": 0.4}
@@ -85,6 +97,48 @@ def _octets(found: str) -> bool:
     return all(len(p := part.lstrip("0")) <= 3 and int(p or "0") <= 255 for part in found.split("."))
 
 
+def _short_cards(text: str, start: int, end: int):
+    """13-15 digits with a right checksum, from the start to the end of digit groups of the run ``start``..``end``.
+
+    From each start the longest; a span inside one before it is left out.
+    """
+    groups, covered = [m.span() for m in _DIGITS.finditer(text, start, end)], 0
+    for i, (first, _) in enumerate(groups):
+        digits, fits = "", []
+        for a, b in groups[i:i + 15]:
+            if len(digits) + b - a > 15:
+                break
+            digits += text[a:b]
+            if len(digits) >= 13:
+                fits.append((b, digits))
+        for last, digits in reversed(fits):
+            if last > covered and luhn(digits):
+                yield first, last
+                covered = last
+                break
+
+
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """IBANs of their country's length; between them, of countries not in the registry, the longest that end with a group."""
+    known, other = [], []
+    for m in _IBAN_START.finditer(text):
+        start, wanted = m.start(), IBAN_LENGTH.get(m[0][:2])
+        plain, fits = "", []
+        for g in _GROUP.finditer(text, start, _IBAN_REST.match(text, m.end()).end()):
+            plain += g[0]
+            if not _WORD.match(text, g.end()) and (len(plain) == wanted if wanted else 15 <= len(plain) <= 34):
+                fits.append((g.end(), plain))
+        found = known if wanted else other
+        for last, plain in reversed(fits):
+            if mod97(plain) and (not found or last > found[-1][1]):
+                found.append((start, last))
+                break
+    ends = [last for _, last in known]
+    between = [(start, last) for start, last in other
+               if (i := bisect_right(ends, start)) == len(known) or known[i][0] >= last]
+    return sorted([*known, *between])
+
+
 def proposals(text: str) -> dict[str, list[tuple[int, int]]]:
     """Confirmed spans by kind, before scoring."""
     out = {k: [] for k in KINDS}
@@ -98,14 +152,13 @@ def proposals(text: str) -> dict[str, list[tuple[int, int]]]:
         if len(m[0]) < 13:
             continue
         digits = _NO_DIGIT.sub("", m[0])
-        if 13 <= len(digits) <= 19 and luhn(digits):
-            out["card" if len(digits) >= 16 else "short_card"].append(m.span())
+        if 16 <= len(digits) <= 19 and luhn(digits):
+            out["card"].append(m.span())
+        else:
+            out["short_card"].extend(_short_cards(text, *m.span()))
     if "+" in text:
         out["phone"] = [m.span() for m in _PHONE.finditer(text) if 8 <= len(_NO_DIGIT.sub("", m[0])) <= 15]
-    for m in _IBAN.finditer(text):
-        plain = m[0].replace(" ", "")
-        if 15 <= len(plain) <= 34 and mod97(plain):
-            out["iban"].append(m.span())
+    out["iban"] = _ibans(text)
     out["national_id"] = [m.span() for m in _NATIONAL.finditer(text)]
     out["local_phone"] = [m.span() for m in _LOCAL_PHONE.finditer(text)]
     return out

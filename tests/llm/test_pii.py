@@ -50,6 +50,36 @@ def test_checks_and_context():
     assert kinds("call (212) 555-0100") == {"local_phone"} and kinds("(212) 555-0100") == set()
 
 
+def found(text, kind):
+    return [text[s["start"]:s["end"]] for s in pii.spans_of(text) if s["kind"] == kind]
+
+
+def test_ibans_before_capitals_and_digits():
+    spaced, plain, british = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    for one in (spaced, plain, british, "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606"):
+        for before in ("", "IBAN ", "AB12 ", "DE12 "):
+            for after in ("", " BIC COBADEFFXXX", " EUR", " 0427", " 12 345 EUR", " X", " Bank", ". A", " ü"):
+                assert found(before + one + after, "iban") == [one], before + one + after
+    assert found(f"{spaced} {plain} {british} {plain}", "iban") == [spaced, plain, british, plain]
+    # a country that is not in the registry
+    assert found("XY18 3704 0044 0532 01 EUR", "iban") == ["XY18 3704 0044 0532 01"]
+    for none in ("DE88 3704 0044 0532 0130 00 EUR", plain + "X", plain + "x", "A" + plain, "DE89 3704 0044"):
+        assert found(none, "iban") == [], none
+
+
+def test_long_runs_of_groups_take_linear_time():
+    for text in ("AB12 " * 100_000, "DE89 " * 100_000, "1234 " * 100_000, "A1 " * 100_000):
+        pii.spans_of(text)
+
+
+def test_short_cards_beside_digits():
+    for one in ("378282246310005", "3782 822463 10005", "30569309025904", "4222222222222"):
+        for text in (f"amex card {one} 0427", f"card {one} 04/27", f"card 77 {one}", f"card {one} 123456789", f"card {one}-{'9' * 40}"):
+            assert any(one in s for s in found(text, "short_card")), text
+    assert found("card 378282246310005 371449635398431", "short_card") == ["378282246310005", "371449635398431"]
+    assert found("card 378282246310006 0428", "short_card") == [] and found("card 3782822463100050", "short_card") == []
+
+
 def test_rows_and_redaction(spark):
     docs = clashing(documents(spark, [(9, "to a.b@c.org, card 4111 1111 1111 1111!", "en", "a", 0)]), ["pii", "spans"])
     found = pii.find_pii(docs)
