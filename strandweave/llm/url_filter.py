@@ -20,6 +20,9 @@ _LINK_TAG = r"(?is)<link\b[^>]*\brel\s*=\s*[\x22']?canonical\b[^>]*>"
 _HREF = r"(?is)\bhref\s*=\s*[\x22']?([^\x22'\s>]+)"
 _META_TAG = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\x22']?refresh\b[^>]*>"
 _META_URL = r"(?is)\burl\s*=\s*[\x22']?([^\x22'\s>]+)"
+_ATTRIBUTE = r"(?is)[\s\x22'/]{}\s*=\s*(?:\x22([^\x22]*)\x22|'([^']*)'|([^\s\x22'>]+))"
+_URL = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+_ENTITIES = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "apos;": "'"}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,9 +36,31 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _without_dots(path: Column) -> Column:
+    """``.`` and ``..`` segments of a path that begins with ``/`` resolved, as the URL standard does."""
+    names = F.split(path, "/")
+    dot = lambda x: F.regexp_replace(x, "(?i)%2e", ".")
+    kept = F.aggregate(F.slice(names, 2, F.size(names)), F.array().cast("array<string>"), lambda acc, x: (
+        F.when(dot(x) == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(dot(x) == ".", acc).otherwise(F.concat(acc, F.array(x)))))
+    last = F.when(dot(F.element_at(names, -1)).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(path.rlike(r"(?i)/(\.|%2e){1,2}(/|$)"), F.concat(F.lit("/"), F.array_join(F.concat(kept, last), "/"))).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """The URL as a node of the graph: without its fragment."""
-    return F.regexp_extract(url, r"(?s)^([^#]*)", 1)
+    """The URL as a node of the graph: without its fragment, in the form the URL standard gives it.
+
+    Scheme and host are lower-cased, an empty path is ``/``, dot segments are resolved and the port of the scheme is
+    left out. What has no ``scheme://`` only loses its fragment.
+    """
+    part = lambda i: F.regexp_extract(url, _URL, i)
+    scheme = F.translate(part(1), _UPPER, _LOWER)
+    user, host = F.regexp_extract(part(2), "(?s)^(.*@)?", 1), F.translate(F.regexp_extract(part(2), "(?s)([^@]*)$", 1), _UPPER, _LOWER)
+    host = (F.when(scheme == "http", F.regexp_replace(host, ":(80)?$", ""))
+            .when(scheme == "https", F.regexp_replace(host, ":(443)?$", "")).otherwise(host))
+    path = F.when(part(3) == "", F.lit("/")).otherwise(_without_dots(part(3)))
+    return F.when(url.rlike(_URL), F.concat(scheme, F.lit("://"), user, host, path, part(4))).otherwise(
+        F.regexp_extract(url, r"(?s)^([^#]*)", 1))
 
 
 def rule_columns(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -47,26 +72,50 @@ def rule_columns(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
+def _decoded(text: Column) -> Column:
+    """Character references of HTML decoded: by number, and the five named ones of markup."""
+    def one(part):
+        out = F.concat(F.lit("&"), part)
+        for name, letter in _ENTITIES.items():
+            rest = F.substring(part, F.lit(len(name) + 1), F.length(part))
+            out = F.when(part.startswith(name), F.concat(F.lit(letter), rest)).otherwise(out)
+        hexed, tens = (F.regexp_extract(part, r"(?is)^#(?:x0*([0-9a-f]{1,6})|0*([0-9]{1,7}));", i) for i in (1, 2))
+        code = F.when(hexed != "", F.conv(hexed, 16, 10)).when(tens != "", tens).cast("long")
+        letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(valid, F.concat(letter, F.regexp_extract(part, "(?s)^[^;]*;(.*)$", 1))).otherwise(out)
+    parts = F.split(text, "&")
+    return F.when(text.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(
+        F.transform(F.slice(parts, 2, F.size(parts)), one), ""))).otherwise(text)
+
+
 def _absolute(base: Column, link: Column) -> Column:
-    scheme = F.regexp_extract(base, r"(?s)^([^:/?#]*):", 1)
-    root = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*[^?#]*/)", 1)
-    return (F.when(link.contains("://"), link)
-            .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
+    """``link`` on the page ``base`` (a node) by the URL standard; null for links that lead to no host (``mailto:``)."""
+    part = lambda i: F.regexp_extract(base, _URL, i)
+    root = F.concat(part(1), F.lit("://"), part(2))
+    return (F.when(link.rlike(_URL), link)
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+            .when(link.startswith("//"), F.concat(part(1), F.lit(":"), link))
             .when(link.startswith("/"), F.concat(root, link))
-            .otherwise(F.concat(F.when(folder == "", F.concat(root, F.lit("/"))).otherwise(folder), link)))
+            .when(link.startswith("?"), F.concat(root, part(3), link))
+            .when(link.startswith("#"), base)
+            .otherwise(F.concat(root, F.regexp_extract(part(3), "(?s)^(.*/)", 1), link)))
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(src, dst) URLs: a page and where its canonical links and refresh redirects lead."""
     text = F.col(html)
-    tag = lambda tags, one: F.transform(F.regexp_extract_all(text, F.lit(tags), F.lit(0)),
-                                        lambda t: F.regexp_extract(t, one, 1))
+    tags = lambda of: F.regexp_extract_all(text, F.lit(of), F.lit(0))
+    value = lambda tag, name: F.concat(*[F.regexp_extract(tag, _ATTRIBUTE.format(name), i) for i in (1, 2, 3)])
+    canonical = F.filter(tags(r"(?is)<link\b[^>]*>"), lambda t: value(t, "rel").rlike(r"(?i)(^|\s)canonical(\s|/?$)"))
+    quotes = r"(?s)^[\s\x22']+|[\s\x22']+$"
+    found = F.concat(F.transform(canonical, lambda t: value(t, "href")),
+                     F.transform(tags(_META_TAG), lambda t: F.regexp_extract(t, _META_URL, 1)))
     links = pages.filter(text.rlike("(?i)canonical|refresh") & F.col(url).contains("://")).select(
-        node_of(F.col(url)).alias("src"),
-        F.explode(F.concat(tag(_LINK_TAG, _HREF), tag(_META_TAG, _META_URL))).alias("link"))
-    return (links.filter("link <> ''")
-            .select("src", node_of(_absolute(F.col("src"), F.col("link"))).alias("dst")).distinct())
+        node_of(F.col(url)).alias("src"), F.explode(found).alias("link"))
+    links = links.select("src", F.regexp_replace(_decoded(F.col("link")), quotes, "").alias("link"))
+    return (links.filter("link <> ''").select("src", _absolute(F.col("src"), F.col("link")).alias("dst"))
+            .filter("dst is not null").select("src", node_of(F.col("dst")).alias("dst")).distinct())
 
 
 def judge(urls: DataFrame, edges: DataFrame, rules: list[tuple[str, str, str]], url: str = "url",

@@ -43,6 +43,35 @@ def test_query_and_sql(spark, tmp_path, empty):
     assert sorted(got, key=repr) == sorted(con.sql(url_filter.OP5_SQL).fetchall(), key=repr)
 
 
+def test_alias_forms(spark):
+    page = "http://a.net/d/f?x#y"
+    tag = "<link rel=canonical href=\"{}\">".format
+    cases = [(page, tag("?a=1&amp;b=2"), "http://a.net/d/f?a=1&b=2"), (page, tag("#top"), "http://a.net/d/f?x"),
+             (page, tag("../g/./h"), "http://a.net/g/h"), (page, tag("../../../g/.."), "http://a.net/"), (page, tag("./"), "http://a.net/d/"),
+             (page, tag("/go?u=https://x.org/"), "http://a.net/go?u=https://x.org/"), (page, tag("go?u=https://x.org/"), "http://a.net/d/go?u=https://x.org/"),
+             (page, tag("HTTPS://A.Org"), "https://a.org/"), (page, tag("https://a.org:443/B?"), "https://a.org/B?"), (page, tag("//B.net"), "http://b.net/"),
+             (page, tag(" /it's&#x26;&#38;&amp;lt; "), "http://a.net/it's&&&lt;"), (page, tag("&#228;&#x1F600;&x"), "http://a.net/d/\u00e4\U0001F600&x"),
+             ("HTTP://A.net", tag("x"), "http://a.net/x"), ("http://a.net/a/../b/", tag("c"), "http://a.net/b/c"),
+             (page, "<link href='/z' rel='alternate  Canonical'/>", "http://a.net/z"), (page, "<link href=/z rel=canonical/>", "http://a.net/z"),
+             (page, "<meta http-equiv=refresh content=\"0; url='?q=1&amp;r=2'\">", "http://a.net/d/f?q=1&r=2"),
+             (page, tag("mailto:a@b.org"), None), (page, "<link rel='canonical-x' href='/z'>", None), (page, "<link data-rel=canonical rel=next href='/z'>", None)]
+    for i, (url, html, want) in enumerate(cases):
+        cases[i] = (i, url, html, want)
+    from functools import reduce
+    frames = [url_filter.alias_edges(spark.createDataFrame([c[:3]], PAGES)).selectExpr(f"{c[0]} as i", "src", "dst") for c in cases]
+    got = {r["i"]: r["dst"] for r in reduce(lambda a, b: a.unionByName(b), frames).collect()}
+    assert got == {i: want for i, _, _, want in cases if want}
+
+
+def test_blocks_reach_the_aliases(spark):
+    rows = [(1, "http://a.net/x?p=1&q=2", link("http://q.com/de/5")), (2, "http://a.net/y", link("http://A.net/x?p=1&amp;q=2")),
+            (3, "http://a.net", ""), (4, "http://b.net/1", link("http://a.net/").replace("canonical", "'alternate canonical'") + link("http://q.com/de/6")),
+            (5, "http://c.net/d/1", link("#top") + link("http://q.com/de/7")), (6, "http://c.net/d/2", link("#top")), (7, "http://c.net/d/", "")]
+    data = spark.createDataFrame(rows, PAGES)
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(data, url_filter.alias_edges(data), url_filter.RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow"}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 700)] + [(900, 900), (None, 3), (901, 902), (901, 902)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()))
