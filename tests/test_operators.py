@@ -136,6 +136,32 @@ def test_gapped_alignment_against_brute_force(spark):
         assert hit.nm == min(nm for nm, b in edits(seq, text, hit.pos - 1, hit_gap(hit.cigar)))
 
 
+def test_short_and_long_reads_are_placed(spark):
+    rng = random.Random(12)
+    text = "".join(rng.choice("ACGT") for _ in range(6500))
+    text = text[:5000] + text[1200:2100] + text[5900:]  # 900 bases twice
+    blocks = R.reference_blocks(spark.createDataFrame([(0, "c", text)], "contig_idx int, contig string, seq string"))
+    turn = lambda t: t[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    other = lambda t, *at: "".join("ACGT"["ACGT".index(x) - 1] if i in at else x for i, x in enumerate(t))
+    want = {"usual": {("+", 301, 0, "100M")}, "short": {("+", 701, 0, "15M")}, "short-": {("-", 6486, 0, "15M")},
+            "499": {("+", 11, 2, "499M")}, "long": {("-", 901, 3, "2500M")}, "end": {("+", 4501, 0, "2000M")},
+            "twice": {("+", 1251, 1, "700M"), ("+", 5051, 1, "700M")}, "gap": {("+", 2101, 1, "1000M3D500M")},
+            "insertion": {("-", 3001, 0, "600M2I600M")}, "start": {("+", 1, 0, "700M4D1500M")}}
+    seqs = {"usual": text[300:400], "short": text[700:715], "short-": turn(text[-15:]), "499": other(text[10:509], 3, 400),
+            "long": turn(other(text[900:3400], 5, 999, 2400)), "end": text[4500:], "twice": other(text[1250:1950], 350),
+            "gap": other(text[2100:3100] + text[3103:3603], 1400), "insertion": turn(text[3000:3600] + "GT" + text[3600:4200]),
+            "start": text[:700] + text[704:2204], "nowhere": "ACGT" * 200, "wrong": other(text[100:900], 100, 200, 300, 400, 500), "none": ""}
+    df = spark.createDataFrame([(n, 1, q, [30] * len(q)) for n, q in seqs.items()], "read_name string, mate int, seq string, quals array<int>")
+    for more in ({}, {"max_read": 100}):
+        got = {}
+        for r in align.align_reads(df, blocks, **more).collect():
+            got.setdefault(r.read_name, set()).add((r.strand, r.pos, r.nm, r.cigar))
+        same = lambda hits: {(s, p, nm, "".join(c for c in g if c.isalpha())) for s, p, nm, g in hits}
+        assert {n: same(h) for n, h in got.items()} == {n: same(h) for n, h in want.items()}
+        for n in ("usual", "short", "short-", "499", "long", "end", "twice"):
+            assert got[n] == want[n], n
+
+
 def hit_gap(cigar):
     import re
     n, op = re.search(r"(\d+)([ID])", cigar).groups()
