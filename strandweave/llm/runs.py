@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import SPACE, table
 
@@ -162,19 +163,23 @@ def with_runs(docs: DataFrame, text: str = "text", out: str = "found") -> DataFr
     itself, so repeated rows get equal results; a column of the name ``out`` is replaced. A text is read whole,
     however long, by the task that has its row.
     """
-    @F.arrow_udf(returnType=f"struct<n_words:long,runs:{RUNS},collapsed:string>")
-    def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in texts:
+    kept = [c for c in docs.columns if c != out]
+    given = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.StructType.fromDDL(
+        f"n_words long, runs {RUNS}, collapsed string"))])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for value in part:
-                words = (value.as_py() or "").encode().split()  # splits at ASCII white space
+            for value in batch.column(len(kept)):
+                words = value.as_py().encode().split()  # splits at ASCII white space
                 runs = repeats(numbered(words)) if len(words) >= MIN_LENGTH else []
-                kept = [words[i] for i in np.flatnonzero(kept_words(len(words), runs))] if runs else words
-                rows.append({"n_words": len(words), "collapsed": b" ".join(kept).decode(),
+                stay = [words[i] for i in np.flatnonzero(kept_words(len(words), runs))] if runs else words
+                rows.append({"n_words": len(words), "collapsed": b" ".join(stay).decode(),
                              "runs": [dict(zip(("start", "length", "period"), r, strict=True)) for r in runs]})
-            yield pa.array(rows, _RESULT)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(rows, _RESULT)], schema.names)
 
-    return docs.withColumn(out, find(F.col(text)))
+    return given.mapInArrow(find, schema)
 
 
 def planted_text(doc_id: Column, text: Column) -> Column:
