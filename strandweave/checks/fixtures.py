@@ -194,3 +194,28 @@ class Fixture:
     @cached_property
     def baits(self) -> DataFrame:
         return self._ranges("bait", 10)
+
+    @cached_property
+    def long_indels(self) -> DataFrame:
+        """Known alleles that delete 70 bases, on some contigs with seven others in their place."""
+        h = self.hosts.filter("contig_idx % 3 < 2").withColumn("pos", F.expr("w0 + 90"))
+        return h.select("contig_idx", "contig", "pos", F.lit(".").alias("id"), F.expr("substr(seq, pos, 71)").alias("ref"),
+                        F.expr("concat(substr(seq, pos, 1), CASE WHEN contig_idx % 3 = 1 THEN 'GATTACA' ELSE '' END)").alias("alt"))
+
+    @cached_property
+    def misplaced(self) -> DataFrame:
+        """The alignments, some with clipped ends, and reads of the long alleles that are laid out without a gap."""
+        columns = ["read_name", "mate", "flag", "contig_idx", "contig", "pos", "cigar", "seq", "quals"]
+        clipped = F.expr("fid % 7 = 0 AND cigar = '50M'")
+        given = self.alignments.withColumns({
+            "pos": F.when(clipped & (F.col("mate") == 2), F.col("pos") + 5).otherwise(F.col("pos")),
+            "cigar": F.when(clipped, F.when(F.col("mate") == 2, "5S45M").otherwise("45M5S")).otherwise(F.col("cigar"))})
+        h = self.hosts.filter("contig_idx % 3 < 2").withColumns({
+            "spot": F.expr("w0 + 90"), "ins": F.expr("CASE WHEN contig_idx % 3 = 1 THEN 'GATTACA' ELSE '' END"),
+            "k": F.explode(F.sequence(F.lit(0), F.lit(7)))})
+        more = h.select(
+            F.expr("concat('x', contig_idx, '_', k)").alias("read_name"), F.lit(1).alias("mate"), F.lit(0).alias("flag"), "contig_idx",
+            "contig", F.expr("spot - 19 - k").alias("pos"), F.lit("50M").alias("cigar"),
+            F.expr("concat(substr(seq, spot - 19 - k, 20 + k), ins, substr(seq, spot + 71, 30 - k - length(ins)))").alias("seq"),
+            F.array_repeat(F.lit(30), 50).alias("quals"))
+        return given.select(*columns).unionByName(more.select(*columns))

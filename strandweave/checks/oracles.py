@@ -270,6 +270,65 @@ REALIGN_TARGETS = with_chain("""SELECT contig_idx, min(s) AS start, max(e) AS "e
   FROM alignments WHERE gapped)""")
 
 
+_ISLANDS = """islands AS (SELECT contig_idx, min(s) AS start, max(e) AS "end" FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY contig_idx ORDER BY s ROWS UNBOUNDED PRECEDING) island FROM (
+    SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY contig_idx ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+      OR lag(s) OVER (PARTITION BY contig_idx ORDER BY s) IS NULL THEN 1 ELSE 0 END fresh
+    FROM (SELECT contig_idx, s, max(e) e FROM padded GROUP BY ALL))) GROUP BY contig_idx, island)"""
+
+_COST = "list_sum(list_transform(range(1, n + 1), lambda i: CASE WHEN substr({0}, i, 1) <> substr({1}, i, 1) THEN q[i] ELSE 0 END))"
+REALIGN_INDELS = with_chain("""SELECT c.read_name, c.mate, c.contig_idx, coalesce(m.new_pos, c.pos) AS pos,
+  lead || coalesce(m.core, c.cigar) || trail AS cigar
+  FROM core c LEFT JOIN moves m USING (read_name, mate)""",
+  """given AS MATERIALIZED (SELECT a.read_name, a.mate, a.contig_idx, a.pos, a.cigar, s.seq, gapped, deletes, a.a, pos0,
+    list_transform(range(50), lambda i: CASE WHEN CASE WHEN a.mate = 1 THEN i ELSE 49 - i END >= 46 THEN 6 + a.fid % 5 ELSE 28 + (a.fid + i) % 12 END) q,
+    a.fid % 7 = 0 AND a.cigar = '50M' clipped FROM alignments a JOIN seqs s USING (fid, mate))""",
+  """longs AS (SELECT contig_idx, seq cseq, w0 + 90 spot, CASE WHEN contig_idx % 3 = 1 THEN 'GATTACA' ELSE '' END ins
+    FROM hosts WHERE contig_idx % 3 < 2)""",
+  """core AS MATERIALIZED (
+    SELECT read_name, mate, g.contig_idx, CAST(CASE WHEN clipped AND mate = 2 THEN pos + 5 ELSE pos END AS INT) pos,
+      CASE WHEN clipped AND mate = 2 THEN '5S' ELSE '' END lead, CASE WHEN clipped AND mate = 1 THEN '5S' ELSE '' END trail,
+      CASE WHEN clipped THEN '45M' ELSE cigar END cigar, CASE WHEN clipped THEN 45 ELSE 50 END n,
+      CASE WHEN clipped AND mate = 2 THEN substr(g.seq, 6) WHEN clipped THEN substr(g.seq, 1, 45) ELSE g.seq END seq,
+      CASE WHEN clipped AND mate = 2 THEN q[6:] WHEN clipped THEN q[:45] ELSE q END q,
+      CASE WHEN gapped AND deletes THEN substr(c.seq, pos, a) || substr(c.seq, pos + a + 3, 50 - a)
+        WHEN gapped THEN substr(c.seq, pos, a) || substr(g.seq, a + 1, 3) || substr(c.seq, pos + a, 47 - a)
+        WHEN clipped AND mate = 2 THEN substr(c.seq, pos + 5, 45) WHEN clipped THEN substr(c.seq, pos, 45) ELSE substr(c.seq, pos, 50) END under,
+      pos + 49 - CASE WHEN clipped AND mate = 1 THEN 5 ELSE 0 END + CASE WHEN gapped THEN CASE WHEN deletes THEN 3 ELSE -3 END ELSE 0 END e
+    FROM given g JOIN contigs c USING (contig_idx)
+    UNION ALL
+    SELECT concat('x', contig_idx, '_', k), 1, contig_idx, CAST(spot - 19 - k AS INT), '', '', '50M', 50,
+      substr(cseq, spot - 19 - k, 20 + k) || ins || substr(cseq, spot + 71, 30 - k - length(ins)), list_transform(range(50), lambda i: 30),
+      substr(cseq, spot - 19 - k, 50), spot + 30 - k FROM longs CROSS JOIN range(8) r(k))""",
+  """trims AS (SELECT *, list_max(list_filter(range(8), lambda t: t < length(alt) AND right(ref, t) = right(alt, t))) t
+    FROM (SELECT contig_idx, spot, substr(cseq, spot, 71) ref, substr(cseq, spot, 1) || ins alt FROM longs))""",
+  """heads AS (SELECT contig_idx, spot, left(ref, length(ref) - t) ref, left(alt, length(alt) - t) alt FROM trims)""",
+  """shorts AS (SELECT *, list_max(list_filter(range(8), lambda h: h < length(alt) AND left(ref, h) = left(alt, h))) h FROM heads)""",
+  """cands AS MATERIALIZED (
+    SELECT contig_idx, pos spot, length(ref) - length(alt) gone, '' ins FROM known_indels WHERE length(ref) > length(alt)
+    UNION SELECT contig_idx, pos, 0, substr(alt, 2) FROM known_indels WHERE length(ref) < length(alt)
+    UNION SELECT contig_idx, spot + h - 1 + same, length(ref) - h - same, substr(alt, h + 1 + same) FROM (
+      SELECT *, CASE WHEN substr(ref, h + 1, 1) = substr(alt, h + 1, 1) THEN 1 ELSE 0 END same FROM shorts)
+    UNION SELECT contig_idx, pos0 + a, CASE WHEN deletes THEN 3 ELSE 0 END, CASE WHEN deletes THEN '' ELSE substr(seq, a + 1, 3) END
+      FROM given WHERE gapped)""",
+  """padded AS (SELECT contig_idx, CAST(greatest(spot - 10, 1) AS INT) s, CAST(spot + greatest(gone, 1) + 10 AS INT) e FROM cands)""",
+  _ISLANDS,
+  """pairs AS (SELECT c.*, t.start target, spot, gone, ins, kept, s.seq cseq, CASE WHEN kept = 0 THEN spot - c.pos + 1 ELSE n - length(ins) - (e - spot - gone) END head
+    FROM core c JOIN cands d USING (contig_idx) JOIN islands t ON t.contig_idx = c.contig_idx AND spot BETWEEN t.start AND t."end"
+      JOIN contigs s ON s.contig_idx = c.contig_idx CROSS JOIN (VALUES (0), (1)) k(kept)
+    WHERE CASE WHEN kept = 0 THEN spot ELSE spot + gone + 1 END BETWEEN c.pos AND e)""",
+  f"""scored AS MATERIALIZED (SELECT *, {_COST.format('seq', 'under')} - {_COST.format('seq', 'hap')} gain FROM (
+    SELECT *, n - head - length(ins) tail, substr(cseq, spot - head + 1, head) || ins || substr(cseq, spot + gone + 1, n - head - length(ins)) hap
+    FROM pairs WHERE head >= 1 AND n - head - length(ins) >= 1 AND spot - head + 1 >= 1) WHERE length(hap) = n)""",
+  """gains AS MATERIALIZED (SELECT *, spot - head + 1 new_pos, concat(head, 'M', CASE WHEN gone > 0 THEN gone || 'D' ELSE '' END,
+      CASE WHEN ins <> '' THEN length(ins) || 'I' ELSE '' END, tail, 'M') core FROM scored WHERE gain > 0
+    QUALIFY row_number() OVER (PARTITION BY read_name, mate, contig_idx, target, spot, gone, ins ORDER BY gain DESC, kept) = 1)""",
+  """chosen AS (SELECT * FROM (SELECT contig_idx, target, spot, gone, ins, sum(gain) total FROM gains GROUP BY ALL) WHERE total >= 50
+    QUALIFY row_number() OVER (PARTITION BY contig_idx, target ORDER BY total DESC, spot, gone, ins) = 1)""",
+  """moves AS (SELECT read_name, mate, CAST(new_pos AS INT) new_pos, core FROM gains JOIN chosen USING (contig_idx, target, spot, gone, ins)
+    QUALIFY row_number() OVER (PARTITION BY read_name, mate ORDER BY gain DESC, new_pos, core) = 1)""")
+
+
 def _bqsr(source: str, prefix: str) -> list[str]:
     return [
         f"""{prefix}ev AS (SELECT b.*, CASE WHEN k.pos IS NULL THEN 0 ELSE 1 END masked FROM (

@@ -379,11 +379,12 @@ def _realign_targets(fx):
     return realign.realign_targets(fx.alignments, fx.known_indels)
 
 
-@query("realign_indels")
+@query("realign_indels", O.REALIGN_INDELS)
 def _realign_indels(fx):
-    targets = realign.realign_targets(fx.alignments, fx.known_indels)
-    moved = realign.realign_indels(fx.alignments, targets, fx.blocks, fx.known_indels)
-    return moved.select("read_name", "mate", "contig_idx", "pos", "cigar")
+    """Clipped reads, and alleles longer than a read or with other bases in place of the deleted ones, among the rest."""
+    reads, known = fx.misplaced, fx.known_indels.unionByName(fx.long_indels)
+    targets = realign.realign_targets(reads, known)
+    return realign.realign_indels(reads, targets, fx.blocks, known).select("read_name", "mate", "contig_idx", "pos", "cigar")
 
 
 @query("bqsr_table", O.BQSR_TABLE)

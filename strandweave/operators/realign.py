@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar as C
 from ..functions.alleles import trimmed
 from ..functions.bases import bind
-from ..functions.intervals import merge_many, overlap_join
+from ..functions.intervals import merge_many, overlap_join, semi_overlap
 from ..functions.scaling import cut_lineage
 from .call import indel_events
 from .pileup import callable_reads
@@ -14,15 +14,14 @@ from .reference import reference_pieces
 
 
 def _known(known_indels: DataFrame) -> DataFrame:
-    """VCF-style indels as ``contig_idx, pos`` (base before), ``gone`` bases and ``ins``.
+    """VCF-style indels as ``contig_idx, pos`` (base before), ``gone`` bases and ``ins``; one allele may have both.
 
-    Shared ends are trimmed first. Substitutions are no candidates, nor are alleles that both delete and insert.
+    Shared ends are trimmed first. Alleles as long as the reference are substitutions and no candidates.
     """
-    sites = trimmed(known_indels)
-    one = (F.length("ref") == 1) != (F.length("alt") == 1)
-    return sites.filter(one & (F.substring("ref", 1, 1) == F.substring("alt", 1, 1))).select(
-        "contig_idx", "pos", (F.length("ref") - 1).alias("gone"),
-        F.substring("alt", F.lit(2), F.length("alt")).alias("ins"))
+    sites = trimmed(known_indels).filter(F.length("ref") != F.length("alt"))
+    same = (F.substring("ref", 1, 1) == F.substring("alt", 1, 1)).cast("int")
+    return sites.select("contig_idx", (F.col("pos") - 1 + same).cast("int").alias("pos"), (F.length("ref") - same).alias("gone"),
+                        F.substring("alt", same + 1, F.length("alt")).alias("ins")).filter("pos >= 1")
 
 
 def _observed(df: DataFrame) -> DataFrame:
@@ -50,12 +49,10 @@ def realign_targets(df: DataFrame, known_indels: DataFrame | None, pad: int = 10
 def _cost(seq: Column, quals: Column, other: Column) -> Column:
     """Sum of the qualities where two equally long texts differ; NULL if lengths differ."""
     def total(t):
-        wrong = F.filter(F.sequence(F.lit(1), F.length(t["a"])),
-                         lambda i: F.substring(t["a"], i, F.lit(1)) != F.substring(t["b"], i, F.lit(1)))
-        return F.when(t["a"] == t["b"], 0).when(
-            F.length(t["a"]) == F.length(t["b"]),
-            F.aggregate(wrong, F.lit(0), lambda acc, i: acc + F.get(quals, i - 1)))
-    return bind(F.struct(seq.alias("a"), other.alias("b")), total)
+        wrong = F.zip_with(F.split(t["a"], ""), F.split(t["b"], ""), lambda x, y: x != y)
+        return F.when(t["a"] == t["b"], 0).when(F.length(t["a"]) == F.length(t["b"]), F.aggregate(
+            F.zip_with(wrong, t["q"], lambda w, q: F.when(w, q).otherwise(0)), F.lit(0), lambda acc, q: acc + q))
+    return bind(F.struct(seq.alias("a"), other.alias("b"), quals.alias("q")), total)
 
 
 def _projected(seq: Column, cigar: Column, under: Column) -> Column:
@@ -65,75 +62,98 @@ def _projected(seq: Column, cigar: Column, under: Column) -> Column:
         .when(s["op"] == "I", F.substring(seq, s["read_off"] + 1, s["len"])).otherwise("")), "")
 
 
+def _joined_text() -> Column:
+    """The pieces of a group, in order, as one text."""
+    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ref_from", "ref_seq"))), lambda p: p["ref_seq"]), "")
+
+
+def _cores(df: DataFrame) -> DataFrame:
+    """Callable reads without the clips at their ends, which are kept as ``lead`` and ``trail``."""
+    lead = F.regexp_extract("cigar", r"^((?:\d+H)?(?:\d+S)?)", 1)
+    trail = F.regexp_extract("cigar", r"((?:\d+S)?(?:\d+H)?)$", 1)
+    soft = lambda c: F.coalesce(F.regexp_extract(c, r"(\d+)S", 1).try_cast("int"), F.lit(0))
+    rows = callable_reads(df).filter(~F.col("cigar").rlike("[NP*]")).select(
+        "read_name", "mate", "contig_idx", "pos", "cigar", "seq", "quals", lead.alias("lead"), trail.alias("trail"))
+    rows = rows.withColumns({"_l": soft(F.col("lead")), "_n": F.length("seq") - soft(F.col("lead")) - soft(F.col("trail"))})
+    rows = rows.filter("_n > 0").select(
+        "read_name", "mate", "contig_idx", "pos", "lead", "trail",
+        F.substring("cigar", F.length("lead") + 1, F.length("cigar") - F.length("lead") - F.length("trail")).alias("cigar"),
+        F.substring("seq", F.col("_l") + 1, F.col("_n")).alias("seq"), F.slice("quals", F.col("_l") + 1, F.col("_n")).alias("quals"))
+    return rows.withColumn("end", C.reference_end(F.col("pos"), F.col("cigar")))
+
+
+def _judged(reads: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Reads with ``now``, the cost of their present alignment; the pieces of a long read are put together first."""
+    pieces = reference_pieces(reads, blocks)
+    whole = (F.col("ref_from") == F.col("pos")) & (F.col("ref_to") == F.col("end"))
+    one = pieces.filter(whole).select(*reads.columns, F.col("ref_seq").alias("under"))
+    key = ["read_name", "mate", "contig_idx", "pos", "cigar"]
+    rest = pieces.filter(~whole)
+    several = rest.groupBy(*key).agg(*[F.first(c).alias(c) for c in reads.columns if c not in key], _joined_text().alias("under"))
+    rows = one.unionByName(several.select(*one.columns))
+    now = _cost(F.col("seq"), F.col("quals"), _projected(F.col("seq"), F.col("cigar"), F.col("under")))
+    return rows.select(*reads.columns, now.alias("now")).filter("now > 0")
+
+
+def _haplotypes(spots: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
+    """Candidates with ``left``, the ``width`` bases up to the spot, and ``right``, those after what is gone."""
+    key = ["contig_idx", "iv_start", "spot", "gone", "ins"]
+    first = F.greatest(F.col("spot") - (width - 1), F.lit(1))
+    sides = F.array(F.struct(F.lit("left").alias("side"), first.alias("pos"), (F.col("spot") - first + 1).alias("n")),
+                    F.struct(F.lit("right").alias("side"), (F.col("spot") + F.col("gone") + 1).alias("pos"), F.lit(width).alias("n")))
+    rows = spots.select(*key, F.explode(sides).alias("s")).select(
+        *key, "s.side", "s.pos", F.concat(F.col("s.n").cast("string"), F.lit("M")).alias("cigar"))
+    texts = reference_pieces(rows, blocks).groupBy(*key, "side").agg(_joined_text().alias("t"))
+    return texts.groupBy(*key).agg(*[F.max(F.when(F.col("side") == x, F.col("t"))).alias(x) for x in ("left", "right")]) \
+        .filter("left IS NOT NULL AND right IS NOT NULL")
+
+
 def realign_indels(df: DataFrame, targets: DataFrame, blocks: DataFrame, known_indels: DataFrame | None,
-                   lod: float = 5.0, margin: int = 60) -> DataFrame:
+                   lod: float = 5.0) -> DataFrame:
     """Moves reads onto the indel that explains a target best.
 
-    Every read over a target is scored against each candidate of the target with
-    its start kept and with its end kept; the score is the sum of mismatching
-    qualities. The candidate with the largest total gain is taken if the gain
-    reaches ``10 * lod``, and reads that gain from it get a new position and
-    CIGAR. Reads with clips or skips, and candidates longer than ``margin``, are
-    left alone. Repair mate fields afterwards with ``fix_mate_info``.
+    Every read over an end of a candidate (what it deletes, inserts, or both) is scored with its start kept and with
+    its end kept; the score is the sum of mismatching qualities. Each candidate brings the bases on both sides of it,
+    as many as the longest read spans, so indels of any length and reads over several blocks are compared. Per target
+    the candidate with the largest total gain is taken if the gain reaches ``10 * lod``, and reads that gain from it
+    get a new position and CIGAR; clips stay as they are at the ends. Reads with skips (``N``, ``P``) are left alone,
+    as are reads that match the reference or hold none of the ends. Repair mate fields afterwards with ``fix_mate_info``.
     """
-    reads = callable_reads(df).filter(~F.col("cigar").rlike("[SHNP]")).select(
-        "read_name", "mate", "contig_idx", "pos", "cigar", "seq", "quals",
-        C.reference_end(F.col("pos"), F.col("cigar")).alias("end"))
-    # the read and `margin` bases on both sides of it, from one block
-    over = overlap_join(reads, targets.select("contig_idx", "start", "end"), "pos", "end")
-    framed = over.withColumnsRenamed({"pos": "at", "cigar": "now"}).withColumns({
-        "pos": F.greatest(F.col("at") - margin, F.lit(1)).cast("int")}).withColumn(
-        "cigar", F.concat((F.col("end") + margin - F.col("pos") + 1).cast("string"), F.lit("M")))
-    whole = reference_pieces(framed, blocks).filter(F.col("ref_from") == F.col("pos")).select(
-        "read_name", "mate", "contig_idx", "iv_start", "at", "end", "now", "seq", "quals", "ref_from", "ref_seq")
-    spots = candidate_indels(df, known_indels).filter((F.col("gone") <= margin) & (F.length("ins") <= margin))
-    spots = overlap_join(spots.withColumn("pos2", F.col("pos")), targets.select("contig_idx", "start", "end"),
-                         "pos", "pos2").select("contig_idx", "iv_start", F.col("pos").alias("spot"), "gone", "ins")
-    pairs = whole.join(spots, ["contig_idx", "iv_start"])
-
-    n, shift = F.length("seq"), F.length("ins") - F.col("gone")
-
-    def ref(first, last):
-        return F.substring("ref_seq", first - F.col("ref_from") + 1, F.greatest(last - first + 1, F.lit(0)))
-
-    def haplotype(start):
-        head = F.col("spot") - start + 1
-        tail = n - head - F.length("ins")
-        after = F.col("spot") + F.col("gone") + 1
-        text = F.concat(ref(start, F.col("spot")), "ins", ref(after, after + tail - 1))
-        return F.when((head >= 1) & (tail >= 1) & (start >= F.col("ref_from")), text)
-
-    def new_cigar(start):
-        head = F.col("spot") - start + 1
-        middle = F.when(F.col("gone") > 0, F.concat(F.col("gone").cast("string"), F.lit("D"))) \
-            .otherwise(F.concat(F.length("ins").cast("string"), F.lit("I")))
-        return F.concat(head.cast("string"), F.lit("M"), middle,
-                        (n - head - F.length("ins")).cast("string"), F.lit("M"))
-
-    end_kept = F.col("end") - n + 1 + shift
-    under = F.substring("ref_seq", F.col("at") - F.col("ref_from") + 1, F.col("end") - F.col("at") + 1)
-    seq, quals = F.col("seq"), F.col("quals")
-
-    def judge(kept):
-        a_wins = kept["b"].isNull() | (kept["a"] <= kept["b"])
-        start = F.when(a_wins, F.col("at")).otherwise(end_kept)
-        return F.struct((kept["now"] - F.least(kept["a"], kept["b"])).alias("gain"),
-                        start.cast("int").alias("new_pos"), new_cigar(start).alias("new_cigar"))
-
-    costs = F.struct(_cost(seq, quals, _projected(seq, F.col("now"), under)).alias("now"),
-                     _cost(seq, quals, haplotype(F.col("at"))).alias("a"),
-                     _cost(seq, quals, haplotype(end_kept)).alias("b"))
+    ranges = targets.select("contig_idx", "start", "end")
+    reads = _judged(semi_overlap(_cores(df), ranges, "pos", "end"), blocks)
+    width = reads.agg(F.max(F.greatest(F.length("seq"), F.col("end") - F.col("pos") + 1))).first()[0]
+    if width is None:
+        return df
+    spots = overlap_join(candidate_indels(df, known_indels).withColumn("pos2", F.col("pos")), ranges, "pos", "pos2").select(
+        "contig_idx", "iv_start", F.col("pos").alias("spot"), "gone", "ins")
+    # each end of a candidate meets the reads over it: the base before, with the start kept, the one after, with the end
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("kept"), F.col("spot").alias("start")),
+                             F.struct(F.lit(1).alias("kept"), (F.col("spot") + F.col("gone") + 1).alias("start"))))
+    points = _haplotypes(spots, blocks, width).withColumn("e", ends).select("*", "e.kept", "e.start", F.col("e.start").alias("end")).drop("e")
+    points = points.withColumnRenamed("iv_start", "target")
+    pairs = overlap_join(reads, points, "pos", "end")
+
+    n, more = F.length("seq"), F.length("ins")
+    head = F.when(F.col("kept") == 0, F.col("spot") - F.col("pos") + 1) \
+        .otherwise(n - more - (F.col("end") - F.col("spot") - F.col("gone")))
+    pairs = pairs.withColumn("head", head).withColumn("tail", n - F.col("head") - more).filter(
+        (F.col("head") >= 1) & (F.col("tail") >= 1) & (F.col("head") <= F.length("left")) & (F.col("tail") <= F.length("right")))
+    text = F.concat(F.substring("left", F.length("left") - F.col("head") + 1, F.col("head")), "ins",
+                    F.substring("right", F.lit(1), F.col("tail")))
+    part = lambda n, op: F.when(n > 0, F.concat(n.cast("string"), F.lit(op))).otherwise("")
+    cigar = F.concat("lead", part(F.col("head"), "M"), part(F.col("gone"), "D"), part(more, "I"), part(F.col("tail"), "M"), "trail")
+    spot = ["contig_idx", "target", "spot", "gone", "ins"]
     # generated, not projected: the filter stays above, and each pair is scored once
-    gains = pairs.select("read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins",
-                         F.explode(F.array(bind(costs, judge))).alias("j")) \
-        .select("read_name", "mate", "contig_idx", "iv_start", "spot", "gone", "ins", "j.*").filter(F.col("gain") > 0)
-    gains = cut_lineage(gains)  # read twice below
-    spot = ["contig_idx", "iv_start", "spot", "gone", "ins"]
-    totals = gains.groupBy(*spot).agg(F.sum("gain").alias("total")).filter(F.col("total") >= lod * 10)
-    chosen = totals.groupBy("contig_idx", "iv_start").agg(
+    gains = pairs.select("read_name", "mate", *spot, "kept", (F.col("spot") - F.col("head") + 1).cast("int").alias("new_pos"),
+                         cigar.alias("new_cigar"), F.explode(F.array(F.col("now") - _cost(F.col("seq"), F.col("quals"), text))).alias("gain"))
+    best = gains.filter("gain > 0").groupBy("read_name", "mate", *spot).agg(
+        F.min(F.struct((-F.col("gain")).alias("g"), "kept", "new_pos", "new_cigar")).alias("b"))
+    best = cut_lineage(best.select("read_name", "mate", *spot, (-F.col("b.g")).alias("gain"), "b.new_pos", "b.new_cigar"))
+    totals = best.groupBy(*spot).agg(F.sum("gain").alias("total")).filter(F.col("total") >= lod * 10)
+    chosen = totals.groupBy("contig_idx", "target").agg(
         F.min(F.struct((-F.col("total")).alias("t"), "spot", "gone", "ins")).alias("c")) \
-        .select("contig_idx", "iv_start", "c.spot", "c.gone", "c.ins")
-    moves = gains.join(chosen, spot).groupBy("read_name", "mate").agg(
+        .select("contig_idx", "target", "c.spot", "c.gone", "c.ins")
+    moves = best.join(chosen, spot).groupBy("read_name", "mate").agg(
         F.min(F.struct((-F.col("gain")).alias("g"), "new_pos", "new_cigar")).alias("m")) \
         .select("read_name", "mate", "m.new_pos", "m.new_cigar")
     return (df.join(moves, ["read_name", "mate"], "left")
