@@ -1,6 +1,7 @@
 """SQL for the registered queries, over the derivation chain of ``fixture_sql``."""
 
 from ..operators.call import INDEL_QUALITY, INDEL_THETA, SNP_THETA, log_priors
+from ..operators.multiallelic import pair_priors
 from .fixture_sql import with_chain
 
 
@@ -61,21 +62,50 @@ def _sites(ploidy: int, source: str = "pile") -> list[str]:
     ]
 
 
+#: Events (op, the text t that goes or comes, ad) moved left one base at a time; b is the base before.
+_SHIFTED = [
+    """shifts(contig_idx, contig, op, ad, pos_0, t_0, pos, t) AS (
+         SELECT contig_idx, contig, op, ad, pos, t, pos, t FROM events
+         UNION ALL SELECT s.contig_idx, s.contig, op, ad, pos_0, t_0, pos - 1, right(t, 1) || left(t, length(t) - 1)
+         FROM shifts s JOIN contigs c ON c.contig_idx = s.contig_idx WHERE pos > 1 AND substr(c.seq, pos, 1) = right(t, 1))""",
+    """normal AS (SELECT s.contig_idx, s.contig, op, t, CAST(pos AS INT) pos, ad, substr(c.seq, pos, 1) b FROM (
+         SELECT * FROM shifts QUALIFY row_number() OVER (PARTITION BY contig_idx, pos_0, t_0, op ORDER BY pos) = 1) s
+         JOIN contigs c ON c.contig_idx = s.contig_idx)""",
+]
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH contigs", "WITH RECURSIVE contigs", 1)
+
+
+def _pair_model(theta: float) -> str:
+    """Prior of the pair (i, j) of alleles, 0 being the reference."""
+    p = pair_priors(theta)
+    return f"CASE WHEN j = 0 THEN {p['none']!r}::DOUBLE WHEN i = 0 THEN {p['one']!r}::DOUBLE WHEN i = j THEN {p['same']!r}::DOUBLE ELSE {p['both']!r}::DOUBLE END"
+
+
+_BEST_PAIR = """best AS (SELECT *, round((m + log10(list_sum(list_transform(ps, lambda p: pow(10.0, p - m)))) - none) * 10, 2) qual FROM (
+         SELECT contig_idx, pos, max(p) m, list(p ORDER BY i, j) ps, max(p) FILTER (j = 0) none, arg_max({'i': i, 'j': j}, (p, -i, -j)) g
+         FROM pairs GROUP BY ALL))"""
+
+
 def _indels(ploidy: int) -> list[str]:
     t = [_term(k, ploidy, str(INDEL_QUALITY)) for k in range(ploidy + 1)]
     sums = [f"((dp - ad) * {t[k]} + ad * {t[ploidy - k]})" for k in range(ploidy + 1)]
     qual, _, gt = _model(sums, INDEL_THETA, ploidy)
     return [
         """ins_seq AS (SELECT fid, mate, string_agg(base, '' ORDER BY i) ins FROM bases1 WHERE rpos IS NULL GROUP BY ALL)""",
-        """indel_seen AS (SELECT g.contig_idx, g.contig, CAST(g.pos0 + g.a AS INT) pos, k.ref,
-             CASE WHEN deletes THEN k.alt ELSE k.ref || s.ins END alt
-             FROM alignments g JOIN known_indels k ON k.contig_idx = g.contig_idx AND k.pos = g.pos0 + g.a
-             LEFT JOIN ins_seq s ON s.fid = g.fid AND s.mate = g.mate WHERE gapped)""",
+        """events AS (SELECT g.contig_idx, g.contig, g.pos0 + g.a pos, CASE WHEN deletes THEN 'D' ELSE 'I' END op,
+             CASE WHEN deletes THEN substr(c.seq, g.pos0 + g.a + 1, 3) ELSE s.ins END t, count(*) ad
+             FROM alignments g JOIN contigs c ON c.contig_idx = g.contig_idx
+             LEFT JOIN ins_seq s ON s.fid = g.fid AND s.mate = g.mate WHERE gapped GROUP BY ALL)""",
+        *_SHIFTED,
+        """indel_seen AS (SELECT contig_idx, contig, pos, CASE WHEN op = 'D' THEN b || t ELSE b END "ref", CASE WHEN op = 'D' THEN b ELSE b || t END alt,
+             CAST(sum(ad) AS BIGINT) ad FROM normal GROUP BY ALL)""",
         """indel_ad AS (SELECT contig_idx, contig, pos, ref, alt, ad FROM (
-             SELECT *, row_number() OVER (PARTITION BY contig_idx, pos ORDER BY ad DESC, ref, alt) rk
-             FROM (SELECT contig_idx, contig, pos, ref, alt, count(*) ad FROM indel_seen GROUP BY ALL)) WHERE rk = 1)""",
-        """indel_dp AS (SELECT i.contig_idx, i.contig, i.pos, i.ref, i.alt, i.ad, count(*) dp FROM indel_ad i
-             JOIN alignments b ON b.contig_idx = i.contig_idx AND b.pos <= i.pos AND b.ref_end > i.pos GROUP BY ALL)""",
+             SELECT *, row_number() OVER (PARTITION BY contig_idx, pos ORDER BY ad DESC, ref, alt) rk FROM indel_seen) WHERE rk = 1)""",
+        """indel_dp AS (SELECT i.contig_idx, i.contig, i.pos, i.ref, i.alt, i.ad, greatest(count(b.fid), i.ad) dp FROM indel_ad i
+             LEFT JOIN alignments b ON b.contig_idx = i.contig_idx AND b.pos <= i.pos AND b.ref_end > i.pos GROUP BY ALL)""",
         f"""indels AS (SELECT * FROM (
              SELECT contig_idx, contig, pos, ref, alt, {qual} qual, {gt} gt, dp, ad
              FROM indel_dp WHERE ad >= dp * 0.1) WHERE qual >= 30)""",
@@ -382,10 +412,61 @@ RESTRICT_TO_INTERVALS = with_chain("""SELECT read_name, mate, contig_idx, pos, c
   WHERE EXISTS (SELECT 1 FROM targets t WHERE t.contig_idx = a.contig_idx AND a.pos <= t.end_pos AND a.ref_end >= t.start_pos)""")
 
 CALL_SNPS = with_chain("SELECT * FROM snps", PILE, PILE10, *_sites(2))
-CALL_INDELS = with_chain("SELECT * FROM indels", *_indels(2))
-CALL_BOTH = with_chain("SELECT * FROM snps UNION ALL SELECT * FROM indels", PILE, PILE10, *_sites(2), *_indels(2))
+CALL_INDELS = _recursive(with_chain("SELECT * FROM indels", *_indels(2)))
+CALL_BOTH = _recursive(with_chain("SELECT * FROM snps UNION ALL SELECT * FROM indels", PILE, PILE10, *_sites(2), *_indels(2)))
 EMIT_MODE = with_chain("SELECT * FROM sites WHERE qual >= 30 OR ref_qual >= 30", PILE, PILE10, *_sites(2))
-CALL_GENERAL_PLOIDY = with_chain("SELECT * FROM snps UNION ALL SELECT * FROM indels", PILE, PILE10, *_sites(4), *_indels(4))
+CALL_GENERAL_PLOIDY = _recursive(with_chain("SELECT * FROM snps UNION ALL SELECT * FROM indels", PILE, PILE10, *_sites(4), *_indels(4)))
+
+LEFT_NORMALIZE_INDELS = _recursive(with_chain("""SELECT contig_idx, contig, pos, op, CAST(length(t) AS INT) AS len, CASE WHEN op = 'I' THEN t ELSE '' END AS ins,
+    CAST(sum(ad) AS BIGINT) AS events FROM normal GROUP BY ALL""",
+  """events AS (SELECT contig_idx, contig, pos, op, substr(seq, pos + 1, CASE WHEN op = 'D' THEN 1 + pos % 3 ELSE 1 + pos % 4 END) t, 1 ad
+       FROM (SELECT contig_idx, contig, seq, unnest(range(97, contig_len - 7, 97)) pos FROM contigs WHERE contig_len >= 110) e
+       CROSS JOIN (VALUES ('D'), ('I')) o(op))""", *_SHIFTED))
+
+_T2 = [_term(k, 2, "q") for k in range(3)]
+CALL_SNP_ALLELES = with_chain("""SELECT contig_idx, contig, pos, ref_base AS "ref",
+    array_to_string(list_transform(alts, lambda k: ls[k + 1]), ',') AS alt, qual,
+    concat(coalesce(list_position(alts, g.i), 0), '/', coalesce(list_position(alts, g.j), 0)) AS gt, dp,
+    concat_ws(',', ns[1], array_to_string(list_transform(alts, lambda k: ns[k + 1]), ',')) AS ad
+  FROM (SELECT *, CASE WHEN g.i = 0 OR g.i = g.j THEN [g.j] ELSE [g.i, g.j] END alts FROM best) JOIN sites USING (contig_idx, pos) WHERE g.j > 0 AND qual >= 30""",
+  PILE, PILE10, """changed AS (SELECT * REPLACE (CASE WHEN (pos * 31 + contig_idx * 17) % 211 = 0 AND base <> '*' AND CAST(substr(read_name, 2) AS BIGINT) % 4 < 2
+      THEN translate(ref_base, 'ACGT', 'CGTA') ELSE base END AS base) FROM pile)""",
+  f"""letters AS (SELECT contig_idx, contig, pos, ref_base, base, count(*) n, {', '.join(f"CAST(sum({t}) AS BIGINT) s{k}" for k, t in enumerate(_T2))}
+      FROM changed WHERE q >= 10 AND base IN ('A', 'C', 'G', 'T') GROUP BY ALL)""",
+  """loci AS (SELECT contig_idx, contig, pos, ref_base, sum(n)::BIGINT dp FROM letters WHERE ref_base IN ('A', 'C', 'G', 'T')
+      GROUP BY ALL HAVING sum(n) FILTER (base <> ref_base) > 0)""",
+  """cells AS (SELECT o.*, coalesce(n, 0) n, coalesce(s0, 0) s0, coalesce(s1, 0) s1, coalesce(s2, 0) s2 FROM (
+      SELECT l.*, v.base, row_number() OVER (PARTITION BY contig_idx, pos ORDER BY v.base <> ref_base, v.base) - 1 k
+      FROM loci l CROSS JOIN (VALUES ('A'), ('C'), ('G'), ('T')) v(base)) o LEFT JOIN letters x USING (contig_idx, pos, base))""",
+  """sites AS (SELECT contig_idx, contig, pos, ref_base, dp, list(n ORDER BY k) ns, list(base ORDER BY k) ls, list(s0 ORDER BY k) a0, list(s1 ORDER BY k) a1, list(s2 ORDER BY k) a2
+      FROM cells GROUP BY ALL)""",
+  f"""pairs AS (SELECT contig_idx, pos, i, j, (CASE WHEN i = j THEN a0[i + 1] ELSE a1[i + 1] + a1[j + 1] END
+      + list_sum(a2) - a2[i + 1] - CASE WHEN i = j THEN 0 ELSE a2[j + 1] END) / 1000000.0::DOUBLE + {_pair_model(SNP_THETA)} p
+      FROM sites CROSS JOIN range(4) x(i) JOIN range(4) y(j) ON j >= i)""", _BEST_PAIR)
+
+_TI = [_term(k, 2, str(INDEL_QUALITY)) for k in range(3)]
+CALL_INDEL_ALLELES = _recursive(with_chain("""SELECT contig_idx, contig, pos, whole AS "ref",
+    array_to_string(list_transform(alts, lambda k: a[k].alt || substr(whole, length(a[k].ref) + 1)), ',') AS alt, qual,
+    concat(coalesce(list_position(alts, g.i), 0), '/', coalesce(list_position(alts, g.j), 0)) AS gt, dp,
+    concat_ws(',', ns[1], array_to_string(list_transform(alts, lambda k: ns[k + 1]), ',')) AS ad
+  FROM (SELECT *, list_reduce(list_transform(alts, lambda k: a[k].ref), lambda x, y: CASE WHEN length(y) > length(x) THEN y ELSE x END) whole FROM (
+    SELECT *, CASE WHEN g.i = 0 OR g.i = g.j THEN [g.j] ELSE [g.i, g.j] END alts FROM best JOIN sites USING (contig_idx, pos) WHERE g.j > 0 AND qual >= 30))""",
+  """ins_seq AS (SELECT fid, mate, string_agg(base, '' ORDER BY i) ins FROM bases1 WHERE rpos IS NULL GROUP BY ALL)""",
+  """changed AS (SELECT * REPLACE (ref_end + CASE WHEN gapped AND fid % 4 = 1 THEN 1 ELSE 0 END AS ref_end) FROM alignments)""",
+  """events AS (SELECT g.contig_idx, g.contig, g.pos0 + g.a pos, CASE WHEN deletes THEN 'D' ELSE 'I' END op,
+      CASE WHEN deletes THEN substr(c.seq, g.pos0 + g.a + 1, CASE WHEN g.fid % 4 = 1 THEN 4 ELSE 3 END) WHEN g.fid % 4 = 1 THEN left(s.ins, 2) ELSE s.ins END t, count(*) ad
+      FROM alignments g JOIN contigs c ON c.contig_idx = g.contig_idx LEFT JOIN ins_seq s ON s.fid = g.fid AND s.mate = g.mate WHERE gapped GROUP BY ALL)""",
+  *_SHIFTED,
+  """seen AS (SELECT contig_idx, contig, pos, CASE WHEN op = 'D' THEN b || t ELSE b END "ref", CASE WHEN op = 'D' THEN b ELSE b || t END alt,
+      CAST(sum(ad) AS BIGINT) ad FROM normal GROUP BY ALL)""",
+  """depths AS (SELECT s.contig_idx, s.pos, greatest(any_value(s.n), count(b.fid)) dp FROM (SELECT contig_idx, pos, sum(ad)::BIGINT n FROM seen GROUP BY ALL) s
+      LEFT JOIN changed b ON b.contig_idx = s.contig_idx AND b.pos <= s.pos AND b.ref_end > s.pos GROUP BY ALL)""",
+  """sites AS (SELECT contig_idx, contig, pos, dp, list({'ref': "ref", 'alt': alt} ORDER BY ad DESC, "ref", alt) FILTER (ad >= dp * 0.1) a,
+      [dp - sum(ad)::BIGINT] || list(ad ORDER BY ad DESC, "ref", alt) FILTER (ad >= dp * 0.1) ns
+      FROM seen JOIN depths USING (contig_idx, pos) GROUP BY contig_idx, contig, pos, dp HAVING count(*) FILTER (ad >= dp * 0.1) > 0)""",
+  f"""pairs AS (SELECT contig_idx, pos, i, j, (CASE WHEN i = j THEN ns[i + 1] * {_TI[0]} + (dp - ns[i + 1]) * {_TI[2]}
+      ELSE (ns[i + 1] + ns[j + 1]) * {_TI[1]} + (dp - ns[i + 1] - ns[j + 1]) * {_TI[2]} END) / 1000000.0::DOUBLE + {_pair_model(INDEL_THETA)} p
+      FROM (SELECT *, unnest(range(len(ns))) i FROM sites) s JOIN range(100) y(j) ON j >= i AND j < len(ns))""", _BEST_PAIR))
 
 ANNOTATE_KNOWN_IDS = with_chain("""SELECT s.*, coalesce(k.id, '.') AS id FROM snps s LEFT JOIN known_snps k
   ON k.contig_idx = s.contig_idx AND k.pos = s.pos AND k.ref = s.ref AND k.alt = s.alt""", PILE, PILE10, *_sites(2))
@@ -482,3 +563,59 @@ DEPTH_SUMMARY = with_chain("""SELECT count(*) AS positions, round(sum(depth) / c
   round(count(*) FILTER (depth >= 1) / count(*)::DOUBLE, 6) AS share_at_1x, round(count(*) FILTER (depth >= 2) / count(*)::DOUBLE, 6) AS share_at_2x,
   round(count(*) FILTER (depth >= 10) / count(*)::DOUBLE, 6) AS share_at_10x, round(count(*) FILTER (depth >= 20) / count(*)::DOUBLE, 6) AS share_at_20x,
   round(count(*) FILTER (depth >= 30) / count(*)::DOUBLE, 6) AS share_at_30x FROM depths""", *_DEPTH)
+
+REALIGN_TARGETS_CLUSTERS = with_chain("""SELECT contig_idx, start, "end" FROM islands""",
+  """wrong AS (SELECT contig_idx, rpos pos, sum(q)::BIGINT m FROM bases WHERE rpos IS NOT NULL AND base <> ref_base GROUP BY ALL)""",
+  """depths AS (SELECT contig_idx, rpos pos, count(*) depth FROM bases WHERE rpos IS NOT NULL GROUP BY ALL)""",
+  """clusters AS (SELECT contig_idx, f, pos FROM (
+      SELECT *, sum(m) OVER w total, count(*) OVER w loci, min(pos) OVER w f FROM wrong
+      WINDOW w AS (PARTITION BY contig_idx ORDER BY pos RANGE BETWEEN 9 PRECEDING AND CURRENT ROW)) JOIN depths USING (contig_idx, pos)
+      WHERE loci > 1 AND total >= 8 * depth)""",
+  """padded AS (SELECT contig_idx, CAST(greatest(pos - 10, 1) AS INT) s, CAST(pos + greatest(length(ref) - length(alt), 1) + 10 AS INT) e FROM known_indels
+      UNION ALL SELECT contig_idx, CAST(greatest(pos0 + a - 10, 1) AS INT), CAST(pos0 + a + CASE WHEN deletes THEN 3 ELSE 1 END + 10 AS INT)
+      FROM alignments WHERE gapped
+      UNION ALL SELECT contig_idx, CAST(greatest(f - 10, 1) AS INT), CAST(pos + 10 AS INT) FROM clusters)""", _ISLANDS)
+
+REFERENCE_RUNS = with_chain("""SELECT contig_idx, contig, min(rpos) AS start, max(rpos) AS "end", state FROM (
+    SELECT *, rpos - row_number() OVER (PARTITION BY contig_idx, state ORDER BY rpos) run FROM (
+      SELECT r.contig_idx, r.contig, r.rpos, CASE WHEN s.pos IS NULL THEN 'none' WHEN qual >= 30 THEN 'variant' WHEN ref_qual >= 30 THEN 'reference' ELSE 'unsure' END state
+      FROM ref_bases r LEFT JOIN sites s ON s.contig_idx = r.contig_idx AND s.pos = r.rpos)) GROUP BY contig_idx, contig, state, run""",
+  PILE, PILE10, *_sites(2))
+
+FIND_PATTERNS = with_chain("""SELECT p.contig_idx AS pattern_id, r.contig_idx, r.contig, r.rpos AS pos
+  FROM patterns p JOIN (SELECT contig_idx, contig, rpos, substr(ref_seq, k, 47) AS around FROM spots) r ON p.word = left(r.around, 8) AND starts_with(r.around, p.pattern)""",
+  """patterns AS (SELECT contig_idx, pattern, left(pattern, 8) word FROM (
+      SELECT contig_idx, substr(seq, 1 + contig_idx % 50, 8 + contig_idx % 40) pattern FROM contigs) WHERE length(pattern) >= 8
+      UNION ALL SELECT contig_idx, NULL, NULL FROM contigs WHERE false)""",
+  """runs AS (SELECT contig_idx, contig, b * 100 first, substr(seq, b * 100 + 1, 147) ref_seq FROM (
+      SELECT *, unnest(range(0, (contig_len + 99) // 100)) b FROM contigs))""",
+  """spots AS (SELECT contig_idx, contig, CAST(first + k AS INT) rpos, ref_seq, k FROM (SELECT *, unnest(range(1, least(100, length(ref_seq)) + 1)) k FROM runs))""")
+
+_P = [f"power(10.0, (l{k} - greatest(l0, l1, l2)) / 1000000.0::DOUBLE)" for k in range(3)]
+_T3 = [_term(k, 2, "q") for k in range(3)]
+#: Every combination of genotypes of the samples of a site, one by one.
+CALL_JOINT = _recursive(with_chain("""SELECT contig_idx, contig, pos, ref_base AS "ref", alt, round(q * 10, 2) AS qual, ac, CAST(2 * n AS INT) AS an, dp
+  FROM judged WHERE q * 10 >= 30""",
+  PILE, PILE10,
+  f"""letters AS (SELECT contig_idx, contig, pos, ref_base, CAST(substr(read_name, 2) AS BIGINT) % 4 s, base, count(*) n, {', '.join(f"CAST(sum({t}) AS BIGINT) s{k}" for k, t in enumerate(_T3))}
+      FROM pile WHERE q >= 10 AND base IN ('A', 'C', 'G', 'T') AND ref_base IN ('A', 'C', 'G', 'T') GROUP BY ALL)""",
+  """chosen AS (SELECT contig_idx, pos, base alt FROM (SELECT contig_idx, pos, base, sum(n) n FROM letters WHERE base <> ref_base GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY contig_idx, pos ORDER BY n DESC, base) = 1)""",
+  """persons AS (SELECT contig_idx, contig, pos, ref_base, alt, s, sum(n) FILTER (base = ref_base OR base = alt)::BIGINT dp,
+      coalesce(sum(s0) FILTER (base = ref_base), 0) + coalesce(sum(s2) FILTER (base = alt), 0) l0,
+      coalesce(sum(s1) FILTER (base = ref_base), 0) + coalesce(sum(s1) FILTER (base = alt), 0) l1,
+      coalesce(sum(s2) FILTER (base = ref_base), 0) + coalesce(sum(s0) FILTER (base = alt), 0) l2
+      FROM letters JOIN chosen USING (contig_idx, pos) GROUP BY ALL)""",
+  f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY contig_idx, pos ORDER BY s) r, count(*) OVER (PARTITION BY contig_idx, pos) n,
+      {_P[0]} p0, {_P[1]} p1, {_P[2]} p2 FROM persons WHERE dp > 0)""",
+  """combos(contig_idx, pos, r, n, k, p) AS (
+      SELECT contig_idx, pos, 0, any_value(n), 0, 1.0::DOUBLE FROM numbered GROUP BY contig_idx, pos
+      UNION ALL SELECT c.contig_idx, c.pos, c.r + 1, c.n, c.k + g, c.p * CASE g WHEN 0 THEN p0 WHEN 1 THEN 2 * p1 ELSE p2 END
+      FROM combos c JOIN numbered x ON x.contig_idx = c.contig_idx AND x.pos = c.pos AND x.r = c.r + 1 CROSS JOIN range(3) v(g))""",
+  """totals AS (SELECT contig_idx, pos, n, k, sum(p) z FROM combos WHERE r = n GROUP BY ALL)""",
+  f"""posts AS (SELECT contig_idx, pos, n, k, log10(z) - log10(factorial(CAST(2 * n AS INT)) / (factorial(CAST(k AS INT)) * factorial(CAST(2 * n - k AS INT)))::DOUBLE)
+      + CASE WHEN k = 0 THEN log10(1 - list_sum(list_transform(range(1, 2 * n + 1), lambda i: {SNP_THETA} / i::DOUBLE))) ELSE log10({SNP_THETA}::DOUBLE) - log10(k) END p
+      FROM totals WHERE z > 0)""",
+  """judged AS (SELECT contig_idx, contig, pos, ref_base, alt, n, ac, dp, m + log10(t) - none q FROM (
+      SELECT contig_idx, pos, n, max(p) m, CAST(arg_max(k, (p, -k)) AS INT) ac, max(p) FILTER (k = 0) none, list_sum(list_transform(list(p), lambda x: pow(10.0, x - list_max(list(p))))) t
+      FROM posts GROUP BY ALL) JOIN (SELECT contig_idx, contig, pos, ref_base, alt, sum(dp)::BIGINT dp FROM numbered GROUP BY ALL) USING (contig_idx, pos))"""))

@@ -9,7 +9,7 @@ from .. import model as M
 from ..functions import cigar as C
 from ..functions.bases import phred_string
 from ..functions.scaling import dense_ordinal, scratch_path
-from ..operators import align, annotate, call, chunk, dedup, groom, metrics, pileup, prepare, realign, recalibrate
+from ..operators import align, annotate, call, chunk, dedup, groom, metrics, multiallelic, normalize, pileup, prepare, realign, recalibrate, sites
 from ..operators import reference as ref
 from ..sources import readers, writers
 from . import oracles as O
@@ -248,6 +248,14 @@ def _find_subsequence(fx):
     return ref.find_subsequence(fx.blocks, "GATTA")
 
 
+@query("find_patterns", O.FIND_PATTERNS)
+def _find_patterns(fx):
+    """A piece of 8 to 47 bases of every contig that has so many, sought in all of them at once."""
+    patterns = fx.contigs.select(F.col("contig_idx").alias("pattern_id"), F.expr("substr(seq, 1 + contig_idx % 50, 8 + contig_idx % 40)").alias("pattern"))
+    patterns = patterns.filter(F.length("pattern") >= 8)
+    return ref.find_patterns(fx.blocks, patterns)
+
+
 @query("subsequence", O.SUBSEQUENCE)
 def _subsequence(fx):
     return ref.subsequence(fx.contigs, 101, 80)
@@ -379,6 +387,12 @@ def _realign_targets(fx):
     return realign.realign_targets(fx.alignments, fx.known_indels)
 
 
+@query("realign_targets_clusters", O.REALIGN_TARGETS_CLUSTERS)
+def _realign_targets_clusters(fx):
+    """Clusters of mismatches beside the indels: reads that carry one without a gap show it that way."""
+    return realign.realign_targets(fx.alignments, fx.known_indels, blocks=fx.blocks)
+
+
 @query("realign_indels", O.REALIGN_INDELS)
 def _realign_indels(fx):
     """Clipped reads, and alleles longer than a read or with other bases in place of the deleted ones, among the rest."""
@@ -436,6 +450,37 @@ def _call_indels(fx):
     return call.call_indels(fx.alignments, fx.blocks)
 
 
+@query("left_normalize_indels", O.LEFT_NORMALIZE_INDELS)
+def _left_normalize_indels(fx):
+    """Deletions and insertions at every 97th base, the inserted bases those of the reference behind them."""
+    at = fx.contigs.filter("contig_len >= 110").withColumn("pos", F.explode(F.expr("sequence(97, contig_len - 8, 97)")))
+    ins = F.expr("substr(seq, pos + 1, 1 + pos % 4)")
+    columns = ["contig_idx", "contig", "pos"]
+    events = at.select(*columns, F.lit("D").alias("op"), F.expr("1 + pos % 3").alias("len"), F.lit("").alias("ins")).unionByName(
+        at.select(*columns, F.lit("I").alias("op"), F.length(ins).alias("len"), ins.alias("ins")))
+    moved = normalize.left_normalized(events, fx.blocks, window=8)
+    return moved.groupBy(*moved.columns).agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("call_snp_alleles", O.CALL_SNP_ALLELES)
+def _call_snp_alleles(fx):
+    """The pileup with a second other letter in half of the reads at the planted sites."""
+    pile = _pile(fx)
+    planted = F.expr("(pos * 31 + contig_idx * 17) % 211 = 0 AND base <> '*' AND cast(substr(read_name, 2, 12) AS bigint) % 4 < 2")
+    return multiallelic.call_snp_alleles(pile.withColumn("base", F.when(planted, F.translate("ref_base", "ACGT", "CGTA")).otherwise(F.col("base"))))
+
+
+@query("call_indel_alleles", O.CALL_INDEL_ALLELES)
+def _call_indel_alleles(fx):
+    """The alignments with another length of the indel in half of the reads that have it."""
+    other = F.expr("fid % 4 = 1 AND cigar <> '50M'")
+    cigar = F.regexp_replace(F.col("cigar"), "3D", "4D")
+    tail = F.expr("cast(regexp_extract(cigar, '([0-9]+)M$', 1) AS int) + 1")
+    cigar = F.when(F.col("cigar").contains("3I"), F.concat(F.regexp_extract("cigar", "^([0-9]+M)", 1), F.lit("2I"), tail.cast("string"), F.lit("M"))).otherwise(cigar)
+    rows = fx.alignments.withColumn("cigar", F.when(other, cigar).otherwise(F.col("cigar")))
+    return multiallelic.call_indel_alleles(rows, fx.blocks)
+
+
 @query("call_both", O.CALL_BOTH)
 def _call_both(fx):
     return call.call_both(fx.alignments, fx.blocks, _pile(fx))
@@ -446,6 +491,18 @@ def _emit_mode(fx):
     return call.emit_mode(call.call_sites(_pile(fx)), "confident")
 
 
+@query("reference_runs", O.REFERENCE_RUNS)
+def _reference_runs(fx):
+    return sites.reference_runs(call.call_sites(_pile(fx)), fx.contig_lengths)
+
+
+@query("call_joint", O.CALL_JOINT)
+def _call_joint(fx):
+    """The reads dealt to four samples by their fragments."""
+    rows = fx.alignments.withColumn("sample", F.concat(F.lit("s"), (F.col("fid") % 4).cast("string")))
+    return sites.call_joint(pileup.pileup(rows, fx.blocks, 10, more=("sample",)))
+
+
 @query("call_general_ploidy", O.CALL_GENERAL_PLOIDY)
 def _call_general_ploidy(fx):
     snps = call.call_general_ploidy(_pile(fx), 4, "SNP")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar as C
 from ..functions.bases import MICRO, bind, copy_terms, lookup
 from ..functions.intervals import overlap_join
+from .normalize import left_normalized
 from .pileup import callable_reads
 from .reference import reference_pieces
 
@@ -132,24 +133,34 @@ def emit_mode(sites: DataFrame, mode: str, conf: float = 30) -> DataFrame:
 
 
 def indel_events(df: DataFrame) -> DataFrame:
-    """Insertions and deletions per read: ``contig_idx, contig, pos`` (the base before), ``op, len, ins``."""
+    """Insertions and deletions per read: ``contig_idx, contig, pos`` (the base before), ``op, len, ins``.
+
+    One before the first matched base is anchored on the reference base before it; there is none at a contig's start.
+    """
     rows = df.filter(F.col("cigar").rlike("[ID]")).select(
         "contig_idx", "contig", "pos", "seq", F.explode(C.cigar_segments(F.col("cigar"))).alias("s"))
-    rows = rows.filter(F.col("s.op").isin("I", "D") & (F.col("s.ref_off") > 0))
+    rows = rows.filter(F.col("s.op").isin("I", "D") & (F.col("pos") + F.col("s.ref_off") > 1))
     inserted = F.when(F.col("s.op") == "I",
                       F.substring(F.col("seq"), F.col("s.read_off") + 1, F.col("s.len"))).otherwise("")
     return rows.select("contig_idx", "contig", (F.col("pos") + F.col("s.ref_off") - 1).alias("pos"),
                        F.col("s.op").alias("op"), F.col("s.len").alias("len"), inserted.alias("ins"))
 
 
+def read_spans(reads: DataFrame) -> DataFrame:
+    """``contig_idx, start, end``; one base more where a read begins or ends with an insertion, beside which it is anchored."""
+    begins, ends = (F.col("cigar").rlike(p).cast("int") for p in (r"^(\d+[SH])*\d+I", r"\d+I(\d+[SH])*$"))
+    return reads.select("contig_idx", (F.col("pos") - begins).alias("start"), (C.reference_end(F.col("pos"), F.col("cigar")) + ends).alias("end"))
+
+
 def indel_alleles(events: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Counted events with VCF-style ``ref`` and ``alt``.
+    """Counted events with VCF-style ``ref`` and ``alt``, equivalent ones as one.
 
     Events are summed before they meet the reference, so only candidate alleles
-    are joined; a deletion over block borders is put together from its pieces.
+    are joined and moved left; a deletion over block borders is put together from its pieces.
     """
     keys = ["contig_idx", "contig", "pos", "op", "len", "ins"]
-    counted = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("ad"))
+    given = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("ad"))
+    counted = left_normalized(given, blocks).groupBy(*keys).agg(F.sum("ad").alias("ad"))
     span = F.concat(F.when(F.col("op") == "D", F.col("len") + 1).otherwise(1).cast("string"), F.lit("M"))
     pieces = reference_pieces(counted.withColumn("cigar", span), blocks)
     whole = pieces.groupBy(*keys, "ad").agg(F.array_join(F.transform(
@@ -171,12 +182,13 @@ def call_indels(df: DataFrame, blocks: DataFrame, min_fraction: float = 0.1,
             .agg(F.min(F.struct((-F.col("ad")).alias("n"), "ref", "alt")).alias("b"))
             .select("contig_idx", "contig", "pos", F.col("b.ref").alias("ref"), F.col("b.alt").alias("alt"),
                     (-F.col("b.n")).alias("ad")))
-    spans = reads.select("contig_idx", F.col("pos").alias("start"),
-                         C.reference_end(F.col("pos"), F.col("cigar")).alias("end"))
+    spans = read_spans(reads)
     sites = best.select("contig_idx", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
     over = overlap_join(spans, sites).filter((F.col("start") <= F.col("iv_start")) & (F.col("end") >= F.col("iv_end")))
     depth = over.groupBy("contig_idx", F.col("iv_start").alias("pos")).agg(F.count(F.lit(1)).alias("dp"))
-    rows = best.join(depth, ["contig_idx", "pos"]).filter(F.col("ad") >= F.col("dp") * min_fraction)
+    # an allele that was moved left may begin before a read that carries it
+    rows = best.join(depth, ["contig_idx", "pos"], "left").withColumn("dp", F.greatest(F.coalesce("dp", F.lit(0)), "ad"))
+    rows = rows.filter(F.col("ad") >= F.col("dp") * min_fraction)
     terms = [t[INDEL_QUALITY] for t in copy_terms(ploidy)]
     likelihoods = F.array(*[(F.col("dp") - F.col("ad")) * terms[k] + F.col("ad") * terms[ploidy - k]
                             for k in range(ploidy + 1)])

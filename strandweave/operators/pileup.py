@@ -39,17 +39,17 @@ def base_rows(df: DataFrame, blocks: DataFrame, keep: list, kinds=("M", "=", "X"
                        F.substring("ref_seq", F.col("_r0") + F.col("_k"), F.lit(1)).alias("ref_base"))
 
 
-def pileup(df: DataFrame, blocks: DataFrame, min_base_quality: int = 10) -> DataFrame:
-    """One row per base of a callable read on a reference position.
+def pileup(df: DataFrame, blocks: DataFrame, min_base_quality: int = 10, more: tuple[str, ...] = ()) -> DataFrame:
+    """One row per base of a callable read on a reference position, with the columns ``more`` of the read.
 
     ``base`` is ``*`` where the read deletes the position; such rows have no
     quality and pass the quality filter.
     """
-    keep = ["contig", "read_name", "mate", "flag", "seq", "quals"]
+    keep = ["contig", "read_name", "mate", "flag", "seq", "quals", *more]
     rows = base_rows(callable_reads(df), blocks, keep, ("M", "=", "X", "D"))
     gone = F.col("op") == "D"
     rows = rows.select(
-        "contig_idx", "contig", F.col("rpos").alias("pos"), "ref_base", "read_name", "mate",
+        "contig_idx", "contig", F.col("rpos").alias("pos"), "ref_base", "read_name", "mate", *more,
         has_flag(F.col("flag"), M.REVERSE).alias("reverse"),
         F.when(gone, "*").otherwise(base_at(F.col("seq"), F.col("i"))).alias("base"),
         F.when(~gone, F.get("quals", F.col("i"))).alias("q"))

@@ -1,15 +1,15 @@
 """Local realignment of reads around insertions and deletions."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..functions.alleles import trimmed
 from ..functions.bases import bind
-from ..functions.intervals import merge_many, overlap_join, semi_overlap
+from ..functions.intervals import BIN, coverage_runs, merge_many, overlap_join, semi_overlap
 from ..functions.scaling import cut_lineage
 from .call import indel_events
-from .pileup import callable_reads
+from .pileup import callable_reads, match_ranges, pileup
 from .reference import reference_pieces
 
 
@@ -38,12 +38,33 @@ def candidate_indels(df: DataFrame, known_indels: DataFrame | None) -> DataFrame
     return seen.unionByName(_known(known_indels)).distinct()
 
 
-def realign_targets(df: DataFrame, known_indels: DataFrame | None, pad: int = 10) -> DataFrame:
-    """Padded ranges around observed and known indels, overlapping ones merged."""
+def mismatch_clusters(df: DataFrame, blocks: DataFrame, window: int = 10, least: float = 8.0) -> DataFrame:
+    """``contig_idx, start, end`` of places with two or more mismatching loci within ``window`` bases.
+
+    The qualities of mismatching bases are summed per locus (only such bases become rows) and then over the window
+    that ends at a locus; a place counts if that sum is at least ``least`` for each read over its last locus. The
+    depth comes from runs of equal depth, not from bases. A window is inside a bin of the contig or reaches into the
+    next one, which then has its first loci too.
+    """
+    wrong = pileup(df, blocks, 0).filter(F.col("base").isin(list("ACGT")) & F.col("ref_base").isin(list("ACGT")) & (F.col("base") != F.col("ref_base")))
+    loci = wrong.groupBy("contig_idx", "pos").agg(F.sum(F.col("q").cast("bigint")).alias("m"))
+    bin_of = lambda p: F.floor((p - 1) / F.lit(BIN)).cast("int")
+    spread = F.array_distinct(F.array(bin_of(F.col("pos")), bin_of(F.col("pos") + (window - 1))))
+    within = Window.partitionBy("contig_idx", "_bin").orderBy("pos").rangeBetween(1 - window, 0)
+    seen = loci.withColumn("_bin", F.explode(spread)).select("*", F.sum("m").over(within).alias("total"), F.count("m").over(within).alias("loci"),
+                                                             F.min("pos").over(within).alias("first"))
+    seen = seen.filter((F.col("_bin") == bin_of(F.col("pos"))) & (F.col("loci") > 1)).withColumn("_to", F.col("pos"))
+    depth = overlap_join(seen.drop("_bin"), coverage_runs(match_ranges(df)), "pos", "_to")
+    return depth.filter(F.col("total") >= F.col("depth") * least).select("contig_idx", F.col("first").alias("start"), F.col("pos").alias("end"))
+
+
+def realign_targets(df: DataFrame, known_indels: DataFrame | None, pad: int = 10, blocks: DataFrame | None = None) -> DataFrame:
+    """Padded ranges around observed and known indels and, with ``blocks``, clusters of mismatches; overlapping ones merged."""
     spots = candidate_indels(df, known_indels)
-    return merge_many(spots.select(
-        "contig_idx", F.greatest(F.col("pos") - pad, F.lit(1)).alias("start"),
-        (F.col("pos") + F.greatest(F.col("gone"), F.lit(1)) + pad).alias("end")))
+    ranges = spots.select("contig_idx", F.col("pos").alias("start"), (F.col("pos") + F.greatest(F.col("gone"), F.lit(1))).alias("end"))
+    if blocks is not None:
+        ranges = ranges.unionByName(mismatch_clusters(df, blocks))
+    return merge_many(ranges.select("contig_idx", F.greatest(F.col("start") - pad, F.lit(1)).alias("start"), (F.col("end") + pad).alias("end")))
 
 
 def _cost(seq: Column, quals: Column, other: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from ..functions.scaling import stored
 from ..model import BLOCK, OVERLAP
 
 
@@ -76,6 +77,22 @@ def reference_pieces(df: DataFrame, blocks: DataFrame, block: int = BLOCK, overl
             .drop("_end", "block", "_start", "_seq"))
 
 
+def reference_text(df: DataFrame, blocks: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """Adds ``name``, the reference from ``first`` to ``last`` (shorter at a contig's end); rows off the contig are dropped.
+
+    Pieces of several blocks are put together by all columns of ``df``, which must be comparable; equal rows become one.
+    """
+    rows = df.withColumns({"_at": F.greatest(first, F.lit(1)).cast("int"), "_to": last.cast("int")}).filter("_at <= _to")
+    lined = rows.withColumnsRenamed({c: f"_{c}_" for c in ("pos", "cigar") if c in df.columns}).withColumns({
+        "pos": F.col("_at"), "cigar": F.concat((F.col("_to") - F.col("_at") + 1).cast("string"), F.lit("M"))})
+    pieces = reference_pieces(lined, blocks).drop("pos", "cigar").withColumnsRenamed(
+        {f"_{c}_": c for c in ("pos", "cigar") if c in df.columns})
+    one = (F.col("ref_from") == F.col("_at")) & (F.col("ref_to") == F.col("_to"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ref_from", "ref_seq"))), lambda x: x["ref_seq"]), "")
+    several = pieces.filter(~one).groupBy(*df.columns).agg(text.alias(name))
+    return pieces.filter(one).select(*df.columns, F.col("ref_seq").alias(name)).unionByName(several)
+
+
 def windows_of(df: DataFrame, text: Column, count: Column, width: int, keep: list[str],
                step: int = 1, run: int = 64) -> DataFrame:
     """``keep`` plus ``k, window``: the first ``count`` windows of ``text``, ``step`` apart.
@@ -122,6 +139,39 @@ def find_subsequence(blocks: DataFrame, query: str, block: int = BLOCK, overlap:
         "contig_idx", "contig", (F.col("start") + F.col("k")).cast("int").alias("pos"))
 
 
+def find_patterns(blocks: DataFrame, patterns: DataFrame, k: int = 12, block: int = BLOCK) -> DataFrame:
+    """``pattern_id, contig_idx, contig, pos`` of every occurrence of every row of ``patterns`` (pattern_id, pattern).
+
+    Each pattern is sought by the one of its ``k``-mers that the reference holds least often: the reference's words are
+    joined once to those of all patterns, counted, and the places of the chosen ones compared with the whole pattern,
+    over block borders if need be. Shorter patterns are words of their own length. Null and empty patterns have no
+    occurrence; equal ones are sought once.
+    """
+    size = F.length("pattern")
+    sought = patterns.filter(size > 0).select("pattern").distinct()
+    lengths = [r[0] for r in sought.select(F.least(size, F.lit(k)).alias("n")).distinct().collect()]  # at most k
+    found = None
+    for n in sorted(lengths):
+        mine = sought.filter(F.least(size, F.lit(k)) == n)
+        words = mine.withColumn("o", F.explode(F.sequence(F.lit(0), size - n))).select("pattern", "o", F.substring("pattern", F.col("o") + 1, F.lit(n)).alias("window"))
+        spots = windows_of(blocks, F.col("seq"), F.least(F.lit(block), F.length("seq") - (n - 1)), n, ["contig_idx", "contig", "start"])
+        spots = spots.select("window", "contig_idx", "contig", (F.col("start") + F.col("k")).cast("int").alias("at"))
+        if n < k:  # the word is the pattern
+            hits = spots.join(mine, F.col("window") == F.col("pattern")).select("pattern", "contig_idx", "contig", F.col("at").alias("pos"))
+        else:
+            spots = stored(spots.join(words.select("window").distinct(), "window"), "pattern-words")
+            often = spots.groupBy("window").agg(F.count(F.lit(1)).alias("n"))
+            best = words.join(often, "window").groupBy("pattern").agg(F.min(F.struct("n", "o", "window")).alias("b"))
+            places = best.select("pattern", "b.o", "b.window").join(spots, "window").select(
+                "pattern", "contig_idx", "contig", (F.col("at") - F.col("o")).alias("pos")).filter("pos >= 1")
+            hits = reference_text(places, blocks, F.col("pos"), F.col("pos") + F.length("pattern") - 1, "_t") \
+                .filter(F.col("_t") == F.col("pattern")).drop("_t")
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        found = blocks.filter("false").select(F.lit("").alias("pattern"), "contig_idx", "contig", F.lit(0).alias("pos"))
+    return patterns.join(found, "pattern").select("pattern_id", "contig_idx", "contig", "pos")
+
+
 def subsequence(contigs: DataFrame, pos: int, length: int) -> DataFrame:
     """``length`` bases from 1-based ``pos`` of every contig (shorter at its end)."""
     return contigs.select("contig_idx", "contig", F.substring("seq", pos, length).alias("seq"))

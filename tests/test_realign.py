@@ -42,6 +42,8 @@ def moved(spark, contig, gone, ins, reads):
 def test_alleles_of_any_length(spark, contig, gone, ins):
     n = 150
     # most of the read lies on the side that is kept in place
+    if gone and ins:  # an end that the reference has in the same place would be trimmed
+        ins = ins[:-1] + next(c for c in "ACGT" if c != contig[SPOT + gone - 1])
     reads = [(f"s{k}", n - len(ins) - 20 - k, n, 0, 0, False) for k in range(6)] + [(f"e{k}", 20 + k, n, 0, 0, True) for k in range(6)]
     got = moved(spark, contig, gone, ins, reads)
     middle = (f"{gone}D" if gone else "") + (f"{len(ins)}I" if ins else "")
@@ -56,7 +58,7 @@ def test_clips_stay_at_the_ends(spark, contig):
     got = moved(spark, contig, 30, "", [("a", 60, 100, 0, 10, False), ("b", 60, 100, 8, 0, False), ("c", 60, 100, 5, 10, False), ("d", 30, 100, 10, 0, True)])
     assert got["a"] == (SPOT - 59, "60M30D30M10S")
     assert got["b"] == (SPOT - 51, "8S52M30D40M")
-    assert got["c"] == (SPOT - 54, "5S55M30D25M10S")
+    assert got["c"] == (SPOT - 54, "5S55M30D30M10S")
     assert got["d"] == (SPOT - 19, "10S20M30D70M")
 
 
