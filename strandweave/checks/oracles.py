@@ -104,7 +104,7 @@ def _indels(ploidy: int) -> list[str]:
              CAST(sum(ad) AS BIGINT) ad FROM normal GROUP BY ALL)""",
         """indel_ad AS (SELECT contig_idx, contig, pos, ref, alt, ad FROM (
              SELECT *, row_number() OVER (PARTITION BY contig_idx, pos ORDER BY ad DESC, ref, alt) rk FROM indel_seen) WHERE rk = 1)""",
-        """indel_dp AS (SELECT i.contig_idx, i.contig, i.pos, i.ref, i.alt, i.ad, greatest(count(b.fid), i.ad) dp FROM indel_ad i
+        """indel_dp AS (SELECT i.contig_idx, i.contig, i.pos, i.ref, i.alt, i.ad, greatest(count(b.fid), any_value(i.ad)) dp FROM indel_ad i
              LEFT JOIN alignments b ON b.contig_idx = i.contig_idx AND b.pos <= i.pos AND b.ref_end > i.pos GROUP BY ALL)""",
         f"""indels AS (SELECT * FROM (
              SELECT contig_idx, contig, pos, ref, alt, {qual} qual, {gt} gt, dp, ad
@@ -619,3 +619,14 @@ CALL_JOINT = _recursive(with_chain("""SELECT contig_idx, contig, pos, ref_base A
   """judged AS (SELECT contig_idx, contig, pos, ref_base, alt, n, ac, dp, m + log10(t) - none q FROM (
       SELECT contig_idx, pos, n, max(p) m, CAST(arg_max(k, (p, -k)) AS INT) ac, max(p) FILTER (k = 0) none, list_sum(list_transform(list(p), lambda x: pow(10.0, x - list_max(list(p))))) t
       FROM posts GROUP BY ALL) JOIN (SELECT contig_idx, contig, pos, ref_base, alt, sum(dp)::BIGINT dp FROM numbered GROUP BY ALL) USING (contig_idx, pos))"""))
+
+RESCUE_MATES = with_chain("""SELECT read_name, 2 AS mate, '-' AS strand, contig_idx, CAST(place AS INT) AS pos, nm, '50M' AS cigar, 1::BIGINT AS n_loci FROM placed
+  QUALIFY row_number() OVER (PARTITION BY read_name ORDER BY nm, abs(place - expected), place) = 1""",
+  """lost AS (SELECT b.read_name, b.contig_idx, a.pos + 120 expected,
+      left(s.seq, 9) || translate(s.seq[10], 'ACGT', 'CGTA') || substr(s.seq, 11, 15) || translate(s.seq[26], 'ACGT', 'CGTA')
+        || substr(s.seq, 27, 15) || translate(s.seq[42], 'ACGT', 'CGTA') || substr(s.seq, 43, 8) seq
+      FROM alignments b JOIN alignments a ON a.fid = b.fid AND a.mate = 1 AND a.cigar = '50M' JOIN seqs s ON s.fid = b.fid AND s.mate = 2
+      WHERE b.mate = 2 AND b.cigar = '50M' AND b.fid % 10 = 0)""",
+  """tried AS (SELECT l.*, place, substr(c.seq, place, 50) ref FROM (SELECT *, unnest(range(greatest(expected - 40, 1), expected + 41)) place FROM lost) l
+      JOIN contigs c USING (contig_idx) WHERE place + 49 <= c.contig_len)""",
+  """placed AS (SELECT * FROM (SELECT *, CAST(len(list_filter(range(1, 51), lambda i: seq[i] <> ref[i])) AS INT) nm FROM tried) WHERE nm <= 6)""")

@@ -9,7 +9,7 @@ from .. import model as M
 from ..functions import cigar as C
 from ..functions.bases import phred_string
 from ..functions.scaling import dense_ordinal, scratch_path
-from ..operators import align, annotate, call, chunk, dedup, groom, metrics, multiallelic, normalize, pileup, prepare, realign, recalibrate, sites
+from ..operators import align, annotate, call, chunk, dedup, groom, metrics, multiallelic, normalize, pileup, prepare, realign, recalibrate, rescue, sites
 from ..operators import reference as ref
 from ..sources import readers, writers
 from . import oracles as O
@@ -320,6 +320,20 @@ def _pair_alignments_of_hits(fx):
         "read_name", "mate", "flag", "contig_idx", "pos", "nm", "mate_pos", "tlen")
 
 
+@query("rescue_mates", O.RESCUE_MATES)
+def _rescue_mates(fx):
+    """Second mates of every tenth fragment have a difference in each of their seeds, so that only their partners place them."""
+    rows = fx.alignments.filter("cigar = '50M'")
+    lost = F.expr("fid % 10 = 0 AND mate = 2")
+    other = lambda at: F.translate(F.substring("seq", at, 1), "ACGT", "CGTA")
+    changed = F.concat(F.substring("seq", 1, 9), other(10), F.substring("seq", 11, 15), other(26), F.substring("seq", 27, 15), other(42), F.substring("seq", 43, 8))
+    hits = rows.filter(~lost).select("read_name", "mate", F.when(F.col("mate") == 1, "+").otherwise("-").alias("strand"), "contig_idx", "pos",
+                                     F.lit(0).alias("nm"), "cigar", F.lit(1).cast("bigint").alias("n_loci"))
+    reads = rows.select("read_name", "mate", F.when(F.col("mate") == 2, F.reverse(F.translate(F.when(lost, changed).otherwise(F.col("seq")), "ACGT", "TGCA")))
+                        .otherwise(F.col("seq")).alias("seq"))
+    return rescue.rescue_mates(reads, hits, fx.blocks, insert=170, spread=40, d=6)
+
+
 @query("attach_read_group", O.ATTACH_READ_GROUP)
 def _attach_read_group(fx):
     rows = prepare.attach_read_group(fx.alignments, "run7", "NA1", "libX", "ILLUMINA", "1")

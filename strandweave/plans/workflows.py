@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from ..functions.scaling import stored
-from ..operators import align, annotate, call, dedup, groom, metrics, pileup, prepare, realign, recalibrate
+from ..operators import align, annotate, call, dedup, groom, metrics, pileup, prepare, realign, recalibrate, rescue
 
 
 @dataclass
@@ -22,6 +22,8 @@ class RunOptions:
     seed_length: int = 16
     max_differences: int = 4
     max_gap: int = 10
+    #: fragment size and spread within which a mate without a seed is sought beside its partner
+    rescue: tuple[int, int] | None = None
     remove_duplicates: bool = False
     min_base_quality: int = 10
     depth_cap: int | None = None
@@ -40,6 +42,9 @@ def align_pairs(left: DataFrame, right: DataFrame, contigs: DataFrame, blocks: D
     if options.trim_quality:
         reads = prepare.trim_reads(reads, options.trim_quality)
     hits = stored(align.align_reads(reads, blocks, options.seed_length, options.max_differences, options.max_gap), "hits")
+    if options.rescue is not None:
+        found = rescue.rescue_mates(reads, hits, blocks, *options.rescue, options.max_differences)
+        hits = stored(hits.unionByName(found), "hits")
     rows = align.to_alignments(align.pair_alignments(hits), reads, contigs, align.select_single_end(hits))
     rows = groom.fix_mate_info(prepare.attach_read_group(rows, **options.read_group))
     return groom.groom(rows, contigs)

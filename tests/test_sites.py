@@ -76,3 +76,31 @@ def test_clusters_of_mismatches(spark):
     got = sorted((x.start, x.end) for x in realign.mismatch_clusters(df, blocks).collect())
     assert got == [(540, 545), (998, 1004)]  # one locus, or two that are far apart, are none
     assert [(x.start, x.end) for x in realign.realign_targets(df, None, blocks=blocks).orderBy("start").collect()] == [(530, 555), (988, 1014)]
+
+
+def test_mates_are_found_by_their_partners(spark):
+    from strandweave.operators import rescue
+    r = random.Random(12)
+    seqs = ["".join(r.choice("ACGT") for _ in range(11_500)) for _ in range(2)]
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGTN", "TGCAN"))
+    reads, hits, want = [], [], {}
+    for k in range(60):
+        c, start, size, n, m = k % 2, r.choice([1, 60, 9_900, 11_200, r.randrange(1, 11_200)]), r.randrange(180, 221), 60, r.choice([45, 70])
+        left, right = seqs[c][start - 1:start - 1 + n], seqs[c][start - 1 + size - m:start - 1 + size]
+        wrong = list(right)
+        for at in range(7, m, 15):
+            wrong[at] = "CGTAN"["ACGT".index(wrong[at])] if k % 5 else "N"
+        wrong = "".join(wrong)
+        first, second = (left, turn(wrong)) if k % 3 else (turn(wrong), left)
+        mate = 1 if k % 3 else 2  # of the placed read, on the forward strand
+        reads += [(f"f{k}", 1, first), (f"f{k}", 2, second)]
+        hits.append((f"f{k}", mate, "+", c, start, 0, f"{n}M", 1))
+        if len(right) == m:
+            want[f"f{k}"] = (3 - mate, "-", c, start + size - m, len(range(7, m, 15)), f"{m}M")
+    reads += [("none", 1, seqs[0][:50]), ("none", 2, seqs[0][100:150]), ("null", 1, None)]
+    df = spark.createDataFrame(reads, "read_name string, mate int, seq string")
+    placed = spark.createDataFrame(hits, "read_name string, mate int, strand string, contig_idx int, pos int, nm int, cigar string, n_loci long")
+    blocks = reference_blocks(spark.createDataFrame([(c, "c", s) for c, s in enumerate(seqs)], CONTIG))
+    got = {x.read_name: (x.mate, x.strand, x.contig_idx, x.pos, x.nm, x.cigar) for x in rescue.rescue_mates(df, placed, blocks, 200, 25, 5).collect()}
+    assert got == want and len(want) > 50
+    assert rescue.rescue_mates(df, placed.filter("false"), blocks, 200, 25).count() == 0
