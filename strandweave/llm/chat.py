@@ -79,9 +79,8 @@ class _Conversation:
         self.number += 1
         return row
 
-    def add(self, role: str, text: str, tokens: int):
+    def add(self, role: str, formatted: str, start: int, end: int, tokens: int):
         """A window that the turn completes, or None."""
-        formatted, start, end = format_turn(role, text)
         turn = (formatted, start, end, tokens, role, self.total)
         done = None
         if self.new and self._size() + self.total + tokens - self.new_at > self.budget:
@@ -107,36 +106,45 @@ def chat_windows(conversations: DataFrame, budget: int = 1024, history: int = 25
                  tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     """Windows of every conversation, from rows (conv_id, turn, role, text).
 
-    Turns go by turn (null first), equal ones by role and text, so repeated rows are kept and reruns agree; null
-    roles and texts count as empty; rows without conv_id form one conversation. Other columns are ignored. A
-    conversation's turns stream through one task in order, which holds one window of it at a time.
+    Turns go by turn (null first), equal ones by role and formatted text, so repeated rows are kept and reruns agree;
+    null roles and texts count as empty; rows without conv_id form one conversation. Other columns are ignored. Turns
+    are formatted and their tokens counted where the rows lie; then a conversation's turns stream through one task in
+    order, which only sums, and holds one window of it at a time.
     """
     path = tokenizer_path(tokenizer)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        encode, talk = Tokenizer.from_file(path), None
+        encode = Tokenizer.from_file(path)
+        for batch in batches:
+            roles, texts = (batch.column(c).to_pylist() for c in ("role", "text"))
+            turns = [format_turn(r, t) for r, t in zip(roles, texts, strict=True)]
+            tokens = [len(e) for e in encode.encode_batch([t[0] for t in turns], add_special_tokens=False)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("conv_id"), batch.column("turn"), batch.column("role"), pa.array([t[0] for t in turns], pa.string()),
+                 *[pa.array(c, pa.int32()) for c in ([t[1] for t in turns], [t[2] for t in turns], tokens)]],
+                ["conv_id", "turn", "role", "formatted", "first", "last", "tokens"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        talk = None
         for batch in batches:
-            ids, roles, texts = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))
-            roles, texts = [r or "" for r in roles], [t or "" for t in texts]
-            tokens = encode.encode_batch([format_turn(r, t)[0] for r, t in zip(roles, texts, strict=True)],
-                                         add_special_tokens=False)
             rows = []
-            for conv_id, role, text, n in zip(ids, roles, texts, map(len, tokens), strict=True):
+            for conv_id, *turn in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "role", "formatted", "first", "last", "tokens")], strict=True):
                 if talk is None or talk.id != conv_id:
                     if talk is not None:
                         rows.append(talk.close())
                     talk = _Conversation(conv_id, budget, history)
-                if (done := talk.add(role, text, n)) is not None:
+                if (done := talk.add(*turn)) is not None:
                     rows.append(done)
             yield _batch(rows, _ARROW)
         if talk is not None:
             yield _batch([talk.close()], _ARROW)
 
-    rows = conversations.selectExpr("cast(conv_id as long) conv_id", "turn", "role", "text")
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return rows.select("conv_id", "role", "text").mapInArrow(windows, WINDOWS)
+    rows = conversations.selectExpr("cast(conv_id as long) conv_id", "cast(turn as long) turn", "coalesce(role, '') role", "coalesce(text, '') text")
+    rows = rows.mapInArrow(formatted, "conv_id long, turn long, role string, formatted string, first int, last int, tokens int")
+    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
+    return rows.mapInArrow(windows, WINDOWS)
 
 
 def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:

@@ -56,18 +56,29 @@ def first_seen(rows: DataFrame, key: str, columns: list[str], remember: int = 20
 
 
 class Memo(dict):
-    """Dictionary filled on demand by ``make(key)``; of more than ``limit`` entries those not used lately go."""
+    """Dictionary filled on demand by ``make(key)``; of more than ``limit`` entries those not used lately go.
 
-    def __init__(self, make, limit: int = 400_000):
+    Keys of over ``LONGEST`` characters or bytes are made anew each time, and the kept ones have at most
+    ``limit_bytes`` together, so that texts of long unbroken runs cannot fill a worker.
+    """
+
+    LONGEST = 512
+
+    def __init__(self, make, limit: int = 400_000, limit_bytes: int = 32 << 20):
         super().__init__()
         self.make, self.half, self.older = make, limit // 2, {}
+        self.half_bytes, self.held = limit_bytes // 2, 0
 
     def __missing__(self, key):
+        size = len(key) if isinstance(key, (str, bytes)) else 0
+        if size > self.LONGEST:
+            return self.make(key)
         value = self.older.pop(key, self)
         if value is self:
             value = self.make(key)
-        if len(self) >= self.half:
-            self.older = dict(self)
+        self.held += size
+        if len(self) >= self.half or self.held > self.half_bytes:
+            self.older, self.held = dict(self), size
             self.clear()
         self[key] = value
         return value

@@ -16,8 +16,6 @@ from .components import connected_components
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
-_LINK_TAG = r"(?is)<link\b[^>]*\brel\s*=\s*[\x22']?canonical\b[^>]*>"
-_HREF = r"(?is)\bhref\s*=\s*[\x22']?([^\x22'\s>]+)"
 _META_TAG = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\x22']?refresh\b[^>]*>"
 _META_URL = r"(?is)\burl\s*=\s*[\x22']?([^\x22'\s>]+)"
 _ATTRIBUTE = r"(?is)[\s\x22'/]{}\s*=\s*(?:\x22([^\x22]*)\x22|'([^']*)'|([^\s\x22'>]+))"
@@ -148,22 +146,83 @@ def op5_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
+def _q(pattern: str) -> str:
+    """A pattern as SQL text; octal and hexadecimal escapes read alike in both engines."""
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _url_sql(url: str) -> str:
+    """``node_of`` in SQL."""
+    part = lambda i: f"regexp_extract({url}, {_q(_URL)}, {i})"
+    scheme, low = f"translate({part(1)}, '{_UPPER}', '{_LOWER}')", f"'{_UPPER}', '{_LOWER}'"
+    user, host = f"regexp_extract({part(2)}, '(?s)^(.*@)?', 1)", f"translate(regexp_extract({part(2)}, '(?s)([^@]*)$', 1), {low})"
+    host = (f"CASE {scheme} WHEN 'http' THEN regexp_replace({host}, ':(80)?$', '') WHEN 'https' THEN regexp_replace({host}, ':(443)?$', '') ELSE {host} END")
+    return (f"CASE WHEN regexp_matches({url}, {_q(_URL)}) THEN {scheme} || '://' || {user} || {host} || "
+            f"CASE WHEN {part(3)} = '' THEN '/' ELSE dots({part(3)}) END || {part(4)} ELSE regexp_extract({url}, '(?s)^([^#]*)', 1) END")
+
+
+_DOT = "regexp_replace(x, '(?i)%2e', '.', 'g')"
+#: Functions of one link, as the steps of ``_without_dots``, ``_decoded`` and ``_absolute`` fix them.
+_MACROS = {
+    # segments are letters of the stack; a segment of two dots takes the last one off
+    "dots(path)": r"""CASE WHEN regexp_matches(path, '(?i)/(\.|%2e){1,2}(/|$)') THEN '/' || array_to_string(list_concat(
+        coalesce(list_reduce(list_concat([CAST([] AS VARCHAR[])], list_transform(string_split(path, '/')[2:], lambda x: [x])),
+          lambda acc, x: CASE regexp_replace(x[1], '(?i)%2e', '.', 'g') WHEN '..' THEN acc[:greatest(len(acc) - 1, 0)] WHEN '.' THEN acc ELSE list_concat(acc, x) END), []),
+        CASE WHEN regexp_replace(string_split(path, '/')[-1], '(?i)%2e', '.', 'g') IN ('.', '..') THEN [''] ELSE [] END), '/') ELSE path END""",
+    "letter(code)": "CASE WHEN code BETWEEN 1 AND 55295 OR code BETWEEN 57344 AND 1114111 THEN chr(CAST(code AS INTEGER)) END",
+    "part_of(x)": r"""coalesce(letter(CASE WHEN regexp_matches(x, '(?is)^#x0*[0-9a-f]{1,6};') THEN CAST('0x' || regexp_extract(x, '(?is)^#x0*([0-9a-f]{1,6});', 1) AS BIGINT)
+          WHEN regexp_matches(x, '(?is)^#0*[0-9]{1,7};') THEN CAST(regexp_extract(x, '(?is)^#0*([0-9]{1,7});', 1) AS BIGINT) END) || regexp_extract(x, '(?s)^[^;]*;(.*)$', 1),
+        """ + "CASE " + " ".join(f"WHEN starts_with(x, '{n}') THEN {_q(c)} || substr(x, {len(n) + 1})" for n, c in _ENTITIES.items()) + " ELSE '&' || x END)",
+    "decoded(t)": """CASE WHEN contains(t, '&') THEN string_split(t, '&')[1] || array_to_string(list_transform(string_split(t, '&')[2:], lambda x: part_of(x)), '') ELSE t END""",
+    "attribute(tag, name)": "regexp_extract(tag, {0}, 1) || regexp_extract(tag, {0}, 2) || regexp_extract(tag, {0}, 3)".format(
+        _q(_ATTRIBUTE.split("{}")[0]) + " || name || " + _q(_ATTRIBUTE.split("{}")[1])),
+}
+
+
+def _expanded(sql: str) -> str:
+    """The text with every use of the functions above written out, as views have no place for macros."""
+    import re
+    names = {m.partition("(")[0]: (re.findall(r"\w+", m)[1:], body) for m, body in _MACROS.items()}
+    while found := re.search(rf"\b({'|'.join(names)})\(", sql):
+        depth, at, given = 1, found.end(), [found.end()]
+        while depth:
+            if sql[at] == "'":
+                at = sql.index("'", at + 1)
+            depth += {"(": 1, "[": 1, ")": -1, "]": -1}.get(sql[at], 0)
+            if sql[at] == "," and depth == 1:
+                given.append(at + 1)
+            at += 1
+        ends = [*[g - 1 for g in given[1:]], at - 1]
+        values = dict(zip(names[found[1]][0], (f"({sql[a:b].strip()})" for a, b in zip(given, ends))))
+        body = re.sub(r"'(?:[^']|'')*'|\b(?:" + "|".join(values) + r")\b", lambda m: values.get(m[0], m[0]), names[found[1]][1])
+        sql = f"{sql[:found.start()]}({body}){sql[at:]}"
+    return sql
+
+
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
-OP5_SQL = rf"""
+OP5_SQL = _expanded(rf"""
 WITH RECURSIVE rules(what, host, path) AS (VALUES {_RULE_ROWS}),
+tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages
+  WHERE regexp_matches(html, '(?i)canonical|refresh') AND contains(url, '://')),
+hrefs AS (
+  SELECT url, CASE WHEN regexp_matches(tag, '(?i)^<link\b') THEN
+      CASE WHEN regexp_matches(attribute(tag, 'rel'), '(?i)(^|\s)canonical(\s|/?$)') THEN attribute(tag, 'href') ELSE '' END
+    WHEN regexp_matches(tag, {_q(_META_TAG)}) THEN regexp_extract(tag, {_q(_META_URL)}, 1) ELSE '' END AS href FROM tags),
 raw AS (
-  SELECT regexp_extract(url, '(?s)^([^#]*)', 1) AS src, unnest(list_concat(
-    list_transform(regexp_extract_all(html, '{_LINK_TAG.replace("'", "''")}'), lambda t: regexp_extract(t, '{_HREF.replace("'", "''")}', 1)),
-    list_transform(regexp_extract_all(html, '{_META_TAG.replace("'", "''")}'), lambda t: regexp_extract(t, '{_META_URL.replace("'", "''")}', 1)))) AS link
-  FROM pages WHERE regexp_matches(html, '(?i)canonical|refresh') AND contains(url, '://')),
-edges AS (
-  SELECT DISTINCT src, regexp_extract(CASE
-    WHEN contains(link, '://') THEN link
-    WHEN starts_with(link, '//') THEN regexp_extract(src, '(?s)^([^:/?#]*):', 1) || ':' || link
-    WHEN starts_with(link, '/') THEN regexp_extract(src, '(?s)^(.*?://[^/?#]*)', 1) || link
-    WHEN regexp_extract(src, '(?s)^(.*?://[^/?#]*[^?#]*/)', 1) = '' THEN regexp_extract(src, '(?s)^(.*?://[^/?#]*)', 1) || '/' || link
-    ELSE regexp_extract(src, '(?s)^(.*?://[^/?#]*[^?#]*/)', 1) || link END, '(?s)^([^#]*)', 1) AS dst
-  FROM raw WHERE link <> ''),
+  SELECT {_url_sql('url')} AS src, regexp_replace(decoded(href), '(?s)^[\s\x22\x27]+|[\s\x22\x27]+$', '', 'g') AS link FROM hrefs),
+bases AS (
+  SELECT src, link, regexp_extract(src, {_q(_URL)}, 1) AS scheme, regexp_extract(src, {_q(_URL)}, 3) AS path,
+    regexp_extract(src, {_q(_URL)}, 1) || '://' || regexp_extract(src, {_q(_URL)}, 2) AS root FROM raw WHERE link <> ''),
+led AS (
+  SELECT src, CASE WHEN regexp_matches(link, {_q(_URL)}) THEN link
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with(link, '//') THEN scheme || ':' || link
+    WHEN starts_with(link, '/') THEN root || link
+    WHEN starts_with(link, '?') THEN root || path || link
+    WHEN starts_with(link, '#') THEN src
+    ELSE root || regexp_extract(path, '(?s)^(.*/)', 1) || link END AS dst FROM bases),
+edges AS (SELECT DISTINCT src, {_url_sql('dst')} AS dst FROM led WHERE dst IS NOT NULL),
 both_ways AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
 reach(node, other) AS (
   SELECT src, src FROM both_ways
@@ -181,5 +240,5 @@ shared AS (
   FROM reach JOIN own ON other = u GROUP BY node)
 SELECT page_id, own.host, own.path, own.rule, coalesce(own.what, shared.what, 'allow') AS verdict
 FROM pages JOIN own ON own.u IS NOT DISTINCT FROM pages.url
-LEFT JOIN shared ON shared.node = regexp_extract(pages.url, '(?s)^([^#]*)', 1)
-"""
+LEFT JOIN shared ON shared.node = {_url_sql('pages.url')}
+""")

@@ -26,8 +26,10 @@ from ..functions.scaling import scratch_path
 from .common import stored, table
 
 DATA, INDEX = "data.warc.gz", "index.cdx"
-#: Payloads from this size on are written once; bytes of an archive before the next begins; records of one read.
-REVISIT_FROM, ARCHIVE_BYTES, RANGE_RECORDS = 100, 512 << 20, 128
+#: Payloads from this size on are written once; bytes of an archive before the next begins.
+REVISIT_FROM, ARCHIVE_BYTES = 100, 512 << 20
+#: Records and bytes of one range read (one record may be longer); bytes of records for a task that reads.
+RANGE_RECORDS, RANGE_BYTES, TASK_BYTES = 128, 4 << 20, 2 << 20
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -88,14 +90,14 @@ class _Archive:
         self.lines.append(f"{name} {kind} {self.at} {len(packed)}\n")
         self.at += len(packed)
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.data.close()
         with self.zip.open(INDEX, "w", force_zip64=True) as index:
             for k in range(0, len(self.lines), 10_000):
                 index.write("".join(self.lines[k:k + 10_000]).encode())
         self.zip.close()
         self.out.close()
-        return self.uri, len(self.lines)
+        return self.uri, len(self.lines), self.at
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
@@ -117,10 +119,10 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes a record per row of ``pages`` (page_id, url, html); gives the stored list (archive, records)."""
+    """Writes a record per row of ``pages`` (page_id, url, html); gives the stored list (archive, records, bytes)."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive = None
-        done = lambda a: pa.RecordBatch.from_pylist([dict(zip(("archive", "records"), a.close(), strict=True))])
+        done = lambda a: pa.RecordBatch.from_pylist([dict(zip(("archive", "records", "bytes"), a.close(), strict=True))])
         for batch in batches:
             for row in batch.to_pylist():
                 archive = archive or _Archive(folder)
@@ -133,7 +135,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if archive is not None:
             yield done(archive)
 
-    return stored(with_revisits(pages).mapInArrow(write, "archive string, records long"), "archives")
+    return stored(with_revisits(pages).mapInArrow(write, "archive string, records long, bytes long"), "archives")
 
 
 # --- reading ----------------------------------------------------------------
@@ -163,6 +165,9 @@ def central_directory(file, size: int) -> dict[str, tuple[int, int]]:
     tail_at = max(0, size - 65_557)  # the end record and the longest comment
     tail = file.read_at(size - tail_at, tail_at)
     end = tail.rfind(b"PK\x05\x06")
+    # the comment after the end record may hold the same bytes: its length must reach the end of the file
+    while end >= 0 and (len(tail) < end + 22 or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
+        end = tail.rfind(b"PK\x05\x06", 0, end + 3)
     if end < 0:
         raise ValueError("no end of central directory: not a ZIP archive")
     entries, length, offset = struct.unpack_from("<HII", tail, end + 10)
@@ -208,26 +213,29 @@ def record_ranges(archives: DataFrame) -> DataFrame:
                     members = central_directory(file, file.size())
                     if DATA not in members:
                         continue
-                    base, rows, first, sizes = members[DATA][0], [], None, []
+                    base, rows, first, sizes = members[DATA][0], [], 0, []
                     for line in _index_lines(file, *members[INDEX]):
                         at, size = map(int, line.split(" ")[2:4])
-                        first = base + at if first is None else first
-                        sizes.append(size)
-                        if len(sizes) == RANGE_RECORDS:
+                        if sizes and (len(sizes) == RANGE_RECORDS or sum(sizes) + size > RANGE_BYTES):
                             rows.append((uri, first, sum(sizes), sizes))
-                            first, sizes = None, []
+                            sizes = []
+                        first = first if sizes else base + at
+                        sizes.append(size)
                     if sizes:
                         rows.append((uri, first, sum(sizes), sizes))
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type)
                                                       for i, f in enumerate(schema)], schema=schema)
 
-    return archives.select("archive").mapInArrow(ranges, "archive string, start long, length long, sizes array<long>")
+    # an explicit number, as adaptive execution joins the partitions of such a small list otherwise
+    spread = archives.select("archive").repartition(max(1, archives.count()), "archive")
+    return spread.mapInArrow(ranges, "archive string, start long, length long, sizes array<long>")
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
     """(page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to) of all records.
 
-    Every run of records is one range read; runs are dealt evenly over the tasks. The payload of a revisit is null.
+    Every run of records is one range read; runs are dealt over as many tasks as the archives' bytes ask for. The
+    payload of a revisit is null.
     """
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
@@ -251,7 +259,8 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type)
                                                   for i, f in enumerate(schema)], schema=schema)
 
-    runs = record_ranges(archives).repartition(F.col("archive"), F.col("start"))
+    size = archives.agg(F.sum("bytes")).first()[0] or 0
+    runs = record_ranges(archives).repartition(max(1, -(-size // TASK_BYTES)), "archive", "start")
     return runs.mapInArrow(read, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, "
                                  "record_type string, refers_to long")
 

@@ -28,7 +28,8 @@ def conversations(spark):
 def expected(rows):
     by = {}
     for r in rows:
-        by.setdefault(r["conv_id"], []).append(((r["turn"] is not None, r["turn"] or 0, r["role"] is not None, r["role"] or "", r["text"] is not None, r["text"] or "")))
+        role, text = r["role"] or "", r["text"] or ""
+        by.setdefault(r["conv_id"], []).append((r["turn"] is not None, r["turn"] or 0, role, role, chat.format_turn(role, text)[0], text))
     out = {}
     for c, turns in by.items():
         all_, loss = hashlib.sha256(), ""

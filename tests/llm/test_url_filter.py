@@ -43,18 +43,44 @@ def test_query_and_sql(spark, tmp_path, empty):
     assert sorted(got, key=repr) == sorted(con.sql(url_filter.OP5_SQL).fetchall(), key=repr)
 
 
+PAGE = "http://a.net/d/f?x#y"
+TAG = "<link rel=canonical href=\"{}\">".format
+CASES = [(PAGE, TAG("?a=1&amp;b=2"), "http://a.net/d/f?a=1&b=2"), (PAGE, TAG("#top"), "http://a.net/d/f?x"),
+         (PAGE, TAG("../g/./h"), "http://a.net/g/h"), (PAGE, TAG("../../../g/.."), "http://a.net/"), (PAGE, TAG("./"), "http://a.net/d/"),
+         (PAGE, TAG("/go?u=https://x.org/"), "http://a.net/go?u=https://x.org/"), (PAGE, TAG("go?u=https://x.org/"), "http://a.net/d/go?u=https://x.org/"),
+         (PAGE, TAG("HTTPS://A.Org"), "https://a.org/"), (PAGE, TAG("https://a.org:443/B?"), "https://a.org/B?"), (PAGE, TAG("//B.net"), "http://b.net/"),
+         (PAGE, TAG(" /it's&#x26;&#38;&amp;lt; "), "http://a.net/it's&&&lt;"), (PAGE, TAG("&#228;&#x1F600;&x"), "http://a.net/d/\u00e4\U0001F600&x"),
+         ("HTTP://A.net", TAG("x"), "http://a.net/x"), ("http://a.net/a/../b/", TAG("c"), "http://a.net/b/c"),
+         (PAGE, "<link href='/z' rel='alternate  Canonical'/>", "http://a.net/z"), (PAGE, "<link href=/z rel=canonical/>", "http://a.net/z"),
+         (PAGE, "<meta http-equiv=refresh content=\"0; url='?q=1&amp;r=2'\">", "http://a.net/d/f?q=1&r=2"),
+         (PAGE, TAG("mailto:a@b.org"), None), (PAGE, "<link rel='canonical-x' href='/z'>", None), (PAGE, "<link data-rel=canonical rel=next href='/z'>", None)]
+
+
+def edge_pages(spark, cases):
+    """Pages whose links lead to a blocked URL each in its own way, one group of hosts for each case."""
+    rows = []
+    for i, (url, html, want) in enumerate(cases):
+        host = lambda t: (t or "").replace("a.net", f"a{i}.net").replace("A.net", f"A{i}.net").replace("a.org", f"a{i}.org").replace("A.Org", f"A{i}.Org").replace("b.net", f"b{i}.net").replace("B.net", f"B{i}.net")
+        rows += [(10 * i, host(url), host(html)), (10 * i + 1, host(want) if want else f"http://x{i}.net/", f"<link rel=canonical href=http://q{i}.com/de/1>")]
+    return spark.createDataFrame(rows, PAGES)
+
+
+def test_alias_forms_and_sql(spark, tmp_path):
+    """Every form of a link through the query and its SQL: blocks arrive by the same edges."""
+    data = edge_pages(spark, CASES).unionByName(blocked_pages(spark))
+    data.write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = sorted((tuple(r) for r in url_filter.op5_redirect_equivalence(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted(con.sql(url_filter.OP5_SQL).fetchall(), key=repr)
+    verdicts = {r[0]: r[4] for r in got}
+    for i, (_, _, want) in enumerate(CASES):
+        if want and ".org/" not in want.split("?")[0]:  # those have an allow rule of their own
+            assert verdicts[10 * i] == "block", CASES[i]
+
+
 def test_alias_forms(spark):
-    page = "http://a.net/d/f?x#y"
-    tag = "<link rel=canonical href=\"{}\">".format
-    cases = [(page, tag("?a=1&amp;b=2"), "http://a.net/d/f?a=1&b=2"), (page, tag("#top"), "http://a.net/d/f?x"),
-             (page, tag("../g/./h"), "http://a.net/g/h"), (page, tag("../../../g/.."), "http://a.net/"), (page, tag("./"), "http://a.net/d/"),
-             (page, tag("/go?u=https://x.org/"), "http://a.net/go?u=https://x.org/"), (page, tag("go?u=https://x.org/"), "http://a.net/d/go?u=https://x.org/"),
-             (page, tag("HTTPS://A.Org"), "https://a.org/"), (page, tag("https://a.org:443/B?"), "https://a.org/B?"), (page, tag("//B.net"), "http://b.net/"),
-             (page, tag(" /it's&#x26;&#38;&amp;lt; "), "http://a.net/it's&&&lt;"), (page, tag("&#228;&#x1F600;&x"), "http://a.net/d/\u00e4\U0001F600&x"),
-             ("HTTP://A.net", tag("x"), "http://a.net/x"), ("http://a.net/a/../b/", tag("c"), "http://a.net/b/c"),
-             (page, "<link href='/z' rel='alternate  Canonical'/>", "http://a.net/z"), (page, "<link href=/z rel=canonical/>", "http://a.net/z"),
-             (page, "<meta http-equiv=refresh content=\"0; url='?q=1&amp;r=2'\">", "http://a.net/d/f?q=1&r=2"),
-             (page, tag("mailto:a@b.org"), None), (page, "<link rel='canonical-x' href='/z'>", None), (page, "<link data-rel=canonical rel=next href='/z'>", None)]
+    cases = list(CASES)
     for i, (url, html, want) in enumerate(cases):
         cases[i] = (i, url, html, want)
     from functools import reduce
@@ -63,11 +89,15 @@ def test_alias_forms(spark):
     assert got == {i: want for i, _, _, want in cases if want}
 
 
-def test_blocks_reach_the_aliases(spark):
+def blocked_pages(spark):
     rows = [(1, "http://a.net/x?p=1&q=2", link("http://q.com/de/5")), (2, "http://a.net/y", link("http://A.net/x?p=1&amp;q=2")),
             (3, "http://a.net", ""), (4, "http://b.net/1", link("http://a.net/").replace("canonical", "'alternate canonical'") + link("http://q.com/de/6")),
             (5, "http://c.net/d/1", link("#top") + link("http://q.com/de/7")), (6, "http://c.net/d/2", link("#top")), (7, "http://c.net/d/", "")]
-    data = spark.createDataFrame(rows, PAGES)
+    return spark.createDataFrame(rows, PAGES)
+
+
+def test_blocks_reach_the_aliases(spark):
+    data = blocked_pages(spark)
     got = {r["page_id"]: r["verdict"] for r in url_filter.judge(data, url_filter.alias_edges(data), url_filter.RULES).collect()}
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow"}
 

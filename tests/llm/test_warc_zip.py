@@ -56,7 +56,7 @@ def test_payloads_come_back_from_rolled_archives(spark, monkeypatch):
 
 def test_directories(monkeypatch):
     plain = {"a": b"x" * 50, "b/é": b"", "c": b"yy"}
-    for limit, comment in ((None, b""), (10, b"a comment"), (None, b"c" * 65_535)):
+    for limit, comment in ((None, b""), (10, b"a comment"), (None, b"c" * 65_535), (None, b"PK\x05\x06" + b"x" * 40), (10, b"ab" + b"PK\x05\x06" * 9)):
         out = io.BytesIO()
         if limit:  # makes the library write ZIP64 records for small sizes
             monkeypatch.setattr(zipfile, "ZIP64_LIMIT", limit)
