@@ -23,7 +23,7 @@ def docs(spark):
         rows.append((1000 + i, text, r.choice(["en", "de"]), r.choice(["a", "b"]), 0))
     rows.append((5000, "again and again " * 100, "en", "a", 0))
     rows += [(6000 + i, words(r.randrange(55, 300), i + 900), "fr", r.choice("cdef"), 0) for i in range(70)]
-    rows += [(7000 + i, words(r.randrange(55, 300), i + 800), "it", "c", 0) for i in range(7)]
+    rows += [(8000 + i, words(r.randrange(55, 300), i + 800), "it", "c", 0) for i in range(7)]
     return documents(spark, rows)
 
 
