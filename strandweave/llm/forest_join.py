@@ -1,13 +1,19 @@
 """Near-duplicate join on word shingles: MinHash LSH forest, then exact verification.
 
-Every distinct shingle set has signatures of ``trees`` x ``depth`` minimum hashes. A tree is a prefix trie: sets that
-agree on the first hashes of a tree meet below the same node. Matching starts at the full depth and shortens the
-prefix until the expected recall at the threshold reaches the target; sets under one trie node are candidates.
-
-Candidates are joined into clusters (connected components over trie nodes), each set is sent to its cluster once,
-and there every pair is verified exactly, in blocks of bounded size: a block pair gives link counts and a spanning
-forest, never the list of pairs, so a large group of near copies costs arithmetic but no rows. Exact copies are one
-set with many members and are never expanded.
+A tree of the forest is a prefix trie over ``depth`` minimum hashes of every distinct shingle set. Prefixes are
+shortened from the full depth to the first one at which pairs at the threshold meet with the wanted probability;
+sets that are alone below every node of that length have no candidates, and their branches are not grown further.
+The others get their whole paths, and a pair of them is verified exactly, at its longest common prefix:
+
+- sets that meet at the full depth are almost always near copies, so the components that these leaves form are compared
+  whole, each set being sent there once;
+- shorter prefixes are nodes where the trie branches. A node whose sets are all of one component is passed over. In
+  the others a pair counts if its components differ and no tree joins it at a longer prefix (or an earlier tree at
+  an equal one), so that each pair belongs to one node and loose chains of nodes are never compared as a whole.
+
+Both are done in blocks of bounded size: a block pair gives link counts and a spanning forest, never the list of
+pairs, so a large group of near copies costs arithmetic but no rows. Exact copies are one set with many members and
+are never expanded.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ from .common import Memo, first_seen, stored, table, with_text_key
 from .components import connected_components
 
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL, BLOCK = 5, 0.8, 32, 12, 0.999, 128
+#: Shingles that a block holds on average at most, unless a single text has more.
+BLOCK_SHINGLES = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,16 +65,17 @@ def shingle_set(text: str | None, words: Memo, size: int = SHINGLE) -> np.ndarra
 
 
 class Signer:
-    """Labels of the trie nodes, one per tree, under which a set lies at the matched depth."""
+    """Labels of the trie nodes under which a set lies; a shorter path is the beginning of a longer one."""
 
     def __init__(self, trees: int, depth: int):
-        random = np.random.default_rng(2)
         self.trees, self.depth = trees, depth
-        self.a = random.integers(0, 1 << 32, trees * depth, dtype=np.uint32) | np.uint32(1)
-        self.b = random.integers(0, 1 << 32, trees * depth, dtype=np.uint32)
+        draws = [np.random.default_rng((2, k)).integers(0, 1 << 32, (2, trees), dtype=np.uint32) for k in range(depth)]
+        self.a, self.b = np.stack(draws, axis=-1).reshape(2, -1)
+        self.a |= np.uint32(1)
         self.tree = _scrambled(np.arange(1, trees + 1, dtype=np.uint64))
 
-    def labels(self, shingles: np.ndarray) -> np.ndarray:
+    def paths(self, shingles: np.ndarray, shortest: int) -> np.ndarray:
+        """Node labels as a row per tree and a column per prefix length from ``shortest`` on."""
         x = (shingles >> np.uint64(32)).astype(np.uint32)
         least = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
         for at in range(0, len(x), 512):
@@ -75,10 +84,15 @@ class Signer:
             h ^= h >> np.uint32(15)
             h *= np.uint32(0x2C1B3C6D)
             np.minimum(least, h.min(axis=1), out=least)
-        label = self.tree
+        label, labels = self.tree, []
         for k in range(self.depth):
             label = _scrambled(label * _MIX + least.reshape(self.trees, self.depth)[:, k])
-        return label.view(np.int64)
+            labels.append(label)
+        return np.stack(labels[shortest - 1:], axis=1).view(np.int64)
+
+    def labels(self, shingles: np.ndarray) -> np.ndarray:
+        """The last node of each tree's path."""
+        return self.paths(shingles, self.depth)[:, 0]
 
 
 _MEMBERS = pa.schema([("text_key", pa.binary()), ("set_key", pa.binary()), ("labels", pa.list_(pa.int64()))])
@@ -109,17 +123,84 @@ def signatures(texts: DataFrame, trees: int, depth: int, shingle: int) -> DataFr
     return texts.select("text_key", "text").mapInArrow(sign, "text_key binary, set_key binary, labels array<long>")
 
 
-def candidate_clusters(members: DataFrame) -> DataFrame:
-    """(set_key, cluster): sets that share trie nodes, directly or through others."""
+def in_company(members: DataFrame) -> DataFrame:
+    """(set_key, alive) of the sets that share a node of the shortest length with another set, and in which trees."""
     under = members.filter("labels is not null").select("set_key", F.posexplode("labels").alias("tree", "label"))
     node = ["tree", "label"]
     # stored, here and below, so that joins have two plain shuffles, of which a hot key's rows can be split
-    first = stored(under.groupBy(*node).agg(F.min("set_key").alias("first"), F.max("set_key").alias("last"))
-                   .filter("first <> last").drop("last"), "trie-nodes")
-    edges = under.join(first, node).filter("set_key <> first").select("set_key", "first").distinct()
+    shared = stored(under.groupBy(*node).agg(F.min("set_key").alias("first"), F.max("set_key").alias("last"))
+                    .filter("first <> last").select(*node), "trie-nodes")
+    return stored(under.join(shared, node).groupBy("set_key").agg(F.collect_set("tree").alias("alive")), "in-company")
+
+
+def grown(texts: DataFrame, members: DataFrame, company: DataFrame, trees: int, shortest: int, depth: int,
+          shingle: int) -> DataFrame:
+    """(set_key, n, path, shingles) of the sets in company: their paths from the shortest prefix to the full depth.
+
+    A path has the labels of all trees in a row, zeros in trees where the set is alone.
+    """
+    chosen = members.groupBy("set_key").agg(F.min("text_key").alias("text_key")).join(company, "set_key")
+    rows = texts.select("text_key", "text").join(chosen, "text_key").select("set_key", "text", "alive")
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, signer = Memo(_word_hash, 150_000), Signer(trees, depth)
+        for batch in batches:
+            sets = [shingle_set(t, words, shingle) for t in batch.column("text").to_pylist()]
+            paths = [signer.paths(s, shortest) for s in sets]
+            for path, alive in zip(paths, batch.column("alive").to_pylist(), strict=True):
+                path[np.setdiff1d(np.arange(trees), alive)] = 0
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("set_key"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([path.ravel() for path in paths], pa.list_(pa.int64())),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["set_key", "n", "path", "shingles"])
+
+    return rows.mapInArrow(grow, "set_key binary, n long, path array<long>, shingles binary").dropDuplicates(["set_key"])
+
+
+def nodes_of(sets: DataFrame, last: int) -> DataFrame:
+    """The nodes on each set's paths, with the next one; level 0 is the shortest prefix, ``last`` the full depth."""
+    at = F.col("at")
+    return (sets.select("*", F.posexplode("path").alias("at", "label")).filter("label <> 0")
+            .withColumns({"tree": F.floor(at / (last + 1)).cast("int"), "level": at % (last + 1), "child": F.get("path", at + 1)})
+            .drop("path", "at"))
+
+
+def leaf_clusters(sets: DataFrame, last: int) -> DataFrame:
+    """(set_key, cluster): sets that meet at the full depth, directly or through others."""
+    leaves = nodes_of(sets.select("set_key", "path"), last).filter(F.col("level") == last).select("set_key", "tree", "label")
+    first = stored(leaves.groupBy("tree", "label").agg(F.min("set_key").alias("first"), F.max("set_key").alias("end"))
+                   .filter("first <> end").drop("end"), "leaves")
+    edges = leaves.join(first, ["tree", "label"]).filter("set_key <> first").select("set_key", "first").distinct()
     return connected_components(edges, "set_key", "first").withColumnsRenamed({"node": "set_key", "component": "cluster"})
 
 
+def _blocks(block: int) -> F.Column:
+    """Number of blocks of a group with rows (n): bounded in sets, and in shingles."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+
+
+def units_of(sets: DataFrame, clusters: DataFrame, last: int, block: int) -> DataFrame:
+    """(set_key, cluster, unit, tree, level, b, blocks): the groups in which sets are compared.
+
+    Clusters of leaves are units without a tree. The others are nodes at which the trie branches and that hold
+    sets of different clusters; a set of no cluster is one by itself.
+    """
+    whole = stored(clusters.join(sets.select("set_key", "n"), "set_key").groupBy("cluster").agg(_blocks(block)), "sizes")
+    leaves = clusters.join(whole, "cluster").select(
+        "set_key", "cluster", F.lit(0).cast("long").alias("unit"), F.lit(-1).alias("tree"), F.lit(last).alias("level"), "blocks")
+    node = ["tree", "level", "label"]
+    named = sets.select("set_key", "n", "path").join(clusters, "set_key", "left").withColumn(
+        "cluster", F.coalesce("cluster", "set_key"))
+    inner = stored(nodes_of(named, last).filter(F.col("level") < last), "inner-nodes")
+    mixed = stored(inner.groupBy(*node).agg(
+        F.min("cluster").alias("c"), F.max("cluster").alias("d"), F.min("child").alias("e"), F.max("child").alias("f"),
+        _blocks(block)).filter("c <> d and e <> f").select(*node, "blocks"), "branchings")
+    branches = inner.join(mixed, node).select("set_key", "cluster", F.col("label").alias("unit"), "tree", "level", "blocks")
+    # a cluster's units are named by the cluster, a node's by its label
+    return (leaves.withColumn("group", F.col("cluster")).unionByName(branches.withColumn("group", F.lit(b"")))
+            .withColumn("b", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")))
+
+
 def _roots(linked: np.ndarray) -> np.ndarray:
     """Smallest reachable index of each row of a symmetric boolean matrix."""
     root = np.arange(len(linked))
@@ -153,52 +234,55 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.
     return total.astype(np.int64)
 
 
-def verified(texts: DataFrame, clusters: DataFrame, members: DataFrame, threshold: float, shingle: int,
-             block: int) -> DataFrame:
-    """(set_key, other, n_links): links of each set inside its block pairs, and one set it hangs together with."""
-    percent = round(threshold * 1000)
-    sizes = stored(clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "sizes")
-    where = clusters.join(sizes, "cluster").withColumn("b", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
-    chosen = members.groupBy("set_key").agg(F.min("text_key").alias("text_key")).join(where, "set_key")
-    rows = texts.select("text_key", "text").join(chosen, "text_key")
+def owned(left: list[np.ndarray], right: list[np.ndarray], trees: int, tree: int, level: int) -> np.ndarray:
+    """Pairs of paths whose longest common prefix is this one: of equally long ones, in the first tree."""
+    a, b = (np.stack(p).reshape(len(p), trees, -1) for p in (left, right))
+    common = np.zeros((len(a), len(b), trees), np.int8)
+    for k in range(a.shape[2]):
+        common += (a[:, None, :, k] == b[None, :, :, k]) & (a[:, None, :, k] != 0)
+    return (common[:, :, tree] == level + 1) & (common.argmax(axis=2) == tree)
 
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Memo(_word_hash, 150_000)
-        for batch in batches:
-            sets = [shingle_set(t, words, shingle).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("set_key", "cluster", "b", "blocks")],
-                                              pa.array(sets, pa.binary())], ["set_key", "cluster", "b", "blocks", "shingles"])
 
-    sets = rows.select("text", "set_key", "cluster", "b", "blocks").mapInArrow(
-        shingled, "set_key binary, cluster binary, b int, blocks int, shingles binary").dropDuplicates(["set_key"])
-    # each unordered pair of blocks is one group; a set takes part in as many groups as its cluster has blocks
-    pairs = sets.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cluster", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "set_key", "shingles")
+def verified(sets: DataFrame, units: DataFrame, threshold: float, trees: int) -> DataFrame:
+    """(set_key, other, n_links): links of each set inside its block pairs, and one set it hangs together with."""
+    percent = round(threshold * 1000)
+    # each unordered pair of blocks is one group; a set takes part in as many groups as its unit has blocks
+    pairs = units.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "group", "tree", "level", "unit", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cluster",
+        "set_key").join(sets.select("set_key", "shingles", "path"), "set_key")
+    pairs = pairs.withColumn("path", F.when(F.col("tree") >= 0, F.col("path")))  # leaves are compared without
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
+        i, j, tree, level = (int(group[c].iloc[0]) for c in ("i", "j", "tree", "level"))
         group = group.sort_values("set_key", ignore_index=True)
         halves = [group[group["b"] == i]] if i == j else [group[group["b"] == i], group[group["b"] == j]]
-        decoded = [[np.frombuffer(s, np.uint64) for s in h["shingles"]] for h in halves]
+        one, two = halves[0], halves[-1]
         names = [k for h in halves for k in h["set_key"]]
-        size = [np.array([len(s) for s in d], np.int64) for d in decoded]
-        n = len(names)
-        linked = np.zeros((n, n), bool)
-        if all(decoded):
-            both = intersections(decoded[0], decoded[1] if i != j else None)
-            union = size[0][:, None] + size[-1][None, :] - both
-            near = 1000 * both >= percent * union
+        linked = np.zeros((len(names), len(names)), bool)
+        if len(one) and len(two):
+            wanted = np.ones((len(one), len(two)), bool)
             if i == j:
-                linked = near & ~np.eye(n, dtype=bool)
-            else:
-                linked[:len(size[0]), len(size[0]):] = near
-                linked[len(size[0]):, :len(size[0])] = near.T
+                np.fill_diagonal(wanted, False)
+            if tree >= 0:
+                wanted &= owned(list(one["path"]), list(two["path"]), trees, tree, level)
+                wanted &= one["cluster"].to_numpy()[:, None] != two["cluster"].to_numpy()[None, :]
+            rows, columns = wanted.any(axis=1).nonzero()[0], wanted.any(axis=0).nonzero()[0]
+            left, right = ([np.frombuffer(s, np.uint64) for s in h["shingles"].iloc[at]]
+                           for h, at in ((one, rows), (two, columns)))
+            if len(rows):
+                both = intersections(left, None if i == j else right)
+                size = [np.array([len(s) for s in d], np.int64) for d in (left, right)]
+                near = (1000 * both >= percent * (size[0][:, None] + size[1][None, :] - both)) & wanted[np.ix_(rows, columns)]
+                columns = columns if i == j else columns + len(one)
+                linked[np.ix_(rows, columns)] = near
+                linked[np.ix_(columns, rows)] |= near.T
         links, root = linked.sum(axis=1), _roots(linked)
         some = links > 0
         return pd.DataFrame({"set_key": [k for k, s in zip(names, some) if s],
                              "other": [names[r] for r, s in zip(root, some) if s], "n_links": links[some].astype("int64")})
 
-    return pairs.groupBy("cluster", "i", "j").applyInPandas(verify, "set_key binary, other binary, n_links long")
+    return pairs.groupBy("group", "tree", "level", "unit", "i", "j").applyInPandas(
+        verify, "set_key binary, other binary, n_links long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE,
@@ -213,8 +297,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", threshold: float = THRE
     texts = first_seen(keyed, "text_key", ["text"])
     used = matched_depth(threshold, trees, depth, recall)
     members = stored(signatures(keyed, trees, used, shingle), "members")
-    clusters = stored(candidate_clusters(members), "clusters")
-    links = stored(verified(texts, clusters, members, threshold, shingle, block), "links")
+    sets = stored(grown(texts, members, in_company(members), trees, used, depth, shingle), "paths")
+    last = depth - used
+    clusters = stored(leaf_clusters(sets, last), "clusters")
+    links = stored(verified(sets, units_of(sets, clusters, last, block), threshold, trees), "links")
     counts = links.groupBy("set_key").agg(F.sum("n_links").alias("n_links"))
     classes = connected_components(links, "set_key", "other").withColumnsRenamed({"node": "set_key", "component": "class_key"})
     found = counts.join(classes, "set_key")

@@ -92,3 +92,49 @@ def test_intersections():
     off = ~np.eye(40, dtype=bool)
     assert (both[off] == np.array(want)[off]).all()
     assert (forest_join.intersections(sets[:15], sets[15:]) == np.array(want)[:15, 15:]).all()
+
+
+def test_paths_begin_alike():
+    r = np.random.default_rng(7)
+    sets = np.unique(r.integers(0, 1 << 63, 90, dtype=np.uint64))
+    deep, loose = forest_join.Signer(8, 12), forest_join.Signer(8, 7)
+    assert deep.paths(sets, 7).shape == (8, 6)
+    assert (deep.paths(sets, 7)[:, 0] == loose.labels(sets)).all()
+
+
+def test_each_pair_has_one_node():
+    """Of all nodes that two paths share, exactly one owns the pair; none if they meet nowhere or at the full depth."""
+    r, trees, levels = np.random.default_rng(3), 6, 4
+    paths = []
+    for _ in range(30):
+        tokens = r.integers(1, 3, (trees, levels))
+        label = np.array([[hash((t, *row[:k + 1])) | 1 for k in range(levels)] for t, row in enumerate(tokens.tolist())])
+        label[r.random(trees) < 0.2] = 0
+        paths.append(label.ravel())
+    owners = np.zeros((30, 30), int)
+    for tree in range(trees):
+        for level in range(levels):
+            owners += forest_join.owned(paths, paths, trees, tree, level)
+    for i in range(30):
+        for j in range(30):
+            a, b = paths[i].reshape(trees, levels), paths[j].reshape(trees, levels)
+            assert owners[i, j] == int(((a == b) & (a != 0)).any())
+
+
+@pytest.mark.parametrize("block", [128, 3])
+def test_loose_chains_and_short_prefixes(spark, tmp_path, monkeypatch, block):
+    """Pairs just over the threshold meet at short prefixes only; chains of passages shared below it stay apart."""
+    r, rows = random.Random(11), []
+    for g in range(60):
+        base = words(200, 900 + g, 10**6).split()
+        at = 20 if g % 2 else 19  # of 196 shingles 21 or so are replaced on one side: similarity about 0.8 to 0.82
+        rows += [(5000 + 10 * g, " ".join(base), "en", "a", 0), (5001 + 10 * g, " ".join(base[:-at] + words(at, 7000 + g, 10**6).split()), "en", "a", 0)]
+    chain = words(3000, 77, 10**6).split()
+    rows += [(9000 + i, " ".join(chain[60 * i:60 * i + 200]), "en", "a", 0) for i in range(40)]
+    r.shuffle(rows)
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(forest_join, "near_duplicates", lambda d, f=forest_join.near_duplicates: f(d, block=block))
+    got = forest_join.op2_forest_join(spark, str(tmp_path)).collect()
+    want = brute(spark.read.parquet(f"{tmp_path}/documents.parquet").collect())
+    assert sum(n > 0 for d, _, n, _ in want if d is not None and 5000 <= d < 9000) >= 60
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
