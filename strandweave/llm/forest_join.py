@@ -7,11 +7,13 @@ The others get their whole paths, and a pair of them is verified exactly, at its
 
 - sets that meet at the full depth are almost always near copies, so the components that these leaves form are compared
   whole, each set being sent there once;
-- shorter prefixes are nodes where the trie branches. A node whose sets are all of one component is passed over. In
-  the others a pair counts if its components differ and no tree joins it at a longer prefix (or an earlier tree at
-  an equal one), so that each pair belongs to one node and loose chains of nodes are never compared as a whole.
+- a set that meets a component of many sets (``LARGE``) at a shorter prefix visits it once, in however many nodes they
+  meet, and is compared with all of it; of two such components the sets of the smaller visit the larger;
+- among the other sets, shorter prefixes are nodes where the trie branches. A node whose sets are all of one component
+  is passed over. In the others a pair counts if its components differ and no tree joins it at a longer prefix (or an
+  earlier tree at an equal one), so that each pair belongs to one node and loose chains are never compared as a whole.
 
-Both are done in blocks of bounded size: a block pair gives link counts and a spanning forest, never the list of
+All are done in blocks of bounded size: a block pair gives link counts and a spanning forest, never the list of
 pairs, so a large group of near copies costs arithmetic but no rows. Exact copies are one set with many members and
 are never expanded.
 """
@@ -30,7 +32,9 @@ from pyspark.sql import functions as F
 from .common import Memo, first_seen, stored, table, with_text_key
 from .components import connected_components
 
-SHINGLE, THRESHOLD, TREES, DEPTH, RECALL, BLOCK = 5, 0.8, 32, 12, 0.999, 128
+SHINGLE, THRESHOLD, TREES, DEPTH, RECALL, BLOCK = 5, 0.8, 32, 12, 0.999, 256
+#: Sets of a component from which on it is visited.
+LARGE = 32
 #: Shingles that a block holds on average at most, unless a single text has more.
 BLOCK_SHINGLES = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -179,26 +183,58 @@ def _blocks(block: int) -> F.Column:
     return F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
 
 
+def _self_pairs(units: DataFrame) -> DataFrame:
+    """Rows of the unordered pairs of blocks of each unit: a set takes part in as many as its unit has blocks."""
+    cut = units.withColumn("b", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+    both = cut.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return both.select("group", "tree", "level", "unit", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"),
+                       F.when(F.col("b") > F.col("o"), 1).otherwise(0).alias("side"), "set_key", "cluster")
+
+
+def _visits(inner: DataFrame, members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Rows of the pairs of a large component's blocks (side 0) and its visitors' (side 1)."""
+    near = inner.filter("level = 0").select("tree", "label", "set_key", "cluster", "size")
+    hosts = stored(near.filter(F.col("size") >= LARGE).select(
+        "tree", "label", F.col("cluster").alias("host"), F.col("size").alias("host_size")).distinct(), "hosts")
+    smaller = F.struct("size", "cluster") < F.struct(F.col("host_size").alias("size"), F.col("host").alias("cluster"))
+    visitors = stored(near.join(hosts, ["tree", "label"]).filter(smaller).select("set_key", "cluster", "host").distinct()
+                      .join(sets.select("set_key", "n"), "set_key"), "visitors")
+    waves = stored(visitors.groupBy("host").agg(_blocks(block)).withColumnRenamed("blocks", "waves"), "waves")
+    at = lambda count: F.pmod(F.xxhash64("set_key"), F.col(count)).cast("int")
+    other = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    here = members.join(waves, F.col("cluster") == F.col("host")).withColumns({"i": at("blocks"), "j": other("waves"), "side": F.lit(0)})
+    sizes = members.select(F.col("cluster").alias("host"), "blocks").distinct()
+    come = (visitors.join(waves, "host").join(sizes, "host")
+            .withColumns({"j": at("waves"), "i": other("blocks"), "side": F.lit(1)}))
+    columns = [F.col("host").alias("group"), F.lit(-2).alias("tree"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("unit"),
+               "i", "j", "side", "set_key", "cluster"]
+    return here.select(*columns).unionByName(come.select(*columns))
+
+
 def units_of(sets: DataFrame, clusters: DataFrame, last: int, block: int) -> DataFrame:
-    """(set_key, cluster, unit, tree, level, b, blocks): the groups in which sets are compared.
+    """(group, tree, level, unit, i, j, side, set_key, cluster): the groups in which sets are compared.
 
-    Clusters of leaves are units without a tree. The others are nodes at which the trie branches and that hold
-    sets of different clusters; a set of no cluster is one by itself.
+    Tree -1: all pairs of a component of leaves; tree -2: visitors (side 1) against a large component (side 0). The
+    others are nodes at which the trie branches and that hold sets of different small components; a set of no
+    component is one by itself.
     """
-    whole = stored(clusters.join(sets.select("set_key", "n"), "set_key").groupBy("cluster").agg(_blocks(block)), "sizes")
-    leaves = clusters.join(whole, "cluster").select(
-        "set_key", "cluster", F.lit(0).cast("long").alias("unit"), F.lit(-1).alias("tree"), F.lit(last).alias("level"), "blocks")
-    node = ["tree", "level", "label"]
-    named = sets.select("set_key", "n", "path").join(clusters, "set_key", "left").withColumn(
-        "cluster", F.coalesce("cluster", "set_key"))
+    whole = stored(clusters.join(sets.select("set_key", "n"), "set_key").groupBy("cluster").agg(
+        _blocks(block), F.count(F.lit(1)).alias("size")), "sizes")
+    members = stored(clusters.join(whole, "cluster"), "leaf-members")
+    leaves = members.select("set_key", "cluster", F.col("cluster").alias("group"), F.lit(0).cast("long").alias("unit"),
+                            F.lit(-1).alias("tree"), F.lit(last).alias("level"), "blocks")
+    named = sets.select("set_key", "n", "path").join(members.drop("blocks"), "set_key", "left").withColumns(
+        {"cluster": F.coalesce("cluster", "set_key"), "size": F.coalesce("size", F.lit(1))})
     inner = stored(nodes_of(named, last).filter(F.col("level") < last), "inner-nodes")
-    mixed = stored(inner.groupBy(*node).agg(
+    node = ["tree", "level", "label"]
+    small = inner.filter(F.col("size") < LARGE)
+    mixed = stored(small.groupBy(*node).agg(
         F.min("cluster").alias("c"), F.max("cluster").alias("d"), F.min("child").alias("e"), F.max("child").alias("f"),
         _blocks(block)).filter("c <> d and e <> f").select(*node, "blocks"), "branchings")
-    branches = inner.join(mixed, node).select("set_key", "cluster", F.col("label").alias("unit"), "tree", "level", "blocks")
-    # a cluster's units are named by the cluster, a node's by its label
-    return (leaves.withColumn("group", F.col("cluster")).unionByName(branches.withColumn("group", F.lit(b"")))
-            .withColumn("b", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")))
+    branches = small.join(mixed, node).select(
+        "set_key", "cluster", F.lit(b"").alias("group"), F.col("label").alias("unit"), "tree", "level", "blocks")
+    return _self_pairs(leaves.unionByName(branches)).unionByName(
+        _visits(inner, members.filter(F.col("size") >= LARGE), sets, block))
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -246,22 +282,21 @@ def owned(left: list[np.ndarray], right: list[np.ndarray], trees: int, tree: int
 def verified(sets: DataFrame, units: DataFrame, threshold: float, trees: int) -> DataFrame:
     """(set_key, other, n_links): links of each set inside its block pairs, and one set it hangs together with."""
     percent = round(threshold * 1000)
-    # each unordered pair of blocks is one group; a set takes part in as many groups as its unit has blocks
-    pairs = units.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "group", "tree", "level", "unit", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cluster",
-        "set_key").join(sets.select("set_key", "shingles", "path"), "set_key")
-    pairs = pairs.withColumn("path", F.when(F.col("tree") >= 0, F.col("path")))  # leaves are compared without
+    pairs = units.join(sets.select("set_key", "shingles", "path"), "set_key")
+    pairs = pairs.withColumn("path", F.when(F.col("tree") >= 0, F.col("path")))  # the other comparisons do without
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         i, j, tree, level = (int(group[c].iloc[0]) for c in ("i", "j", "tree", "level"))
         group = group.sort_values("set_key", ignore_index=True)
-        halves = [group[group["b"] == i]] if i == j else [group[group["b"] == i], group[group["b"] == j]]
-        one, two = halves[0], halves[-1]
+        alone = i == j and tree != -2  # a block against itself
+        one = group[group["side"] == 0]
+        two = one if alone else group[group["side"] == 1]
+        halves = [one] if alone else [one, two]
         names = [k for h in halves for k in h["set_key"]]
         linked = np.zeros((len(names), len(names)), bool)
         if len(one) and len(two):
             wanted = np.ones((len(one), len(two)), bool)
-            if i == j:
+            if alone:
                 np.fill_diagonal(wanted, False)
             if tree >= 0:
                 wanted &= owned(list(one["path"]), list(two["path"]), trees, tree, level)
@@ -270,10 +305,10 @@ def verified(sets: DataFrame, units: DataFrame, threshold: float, trees: int) ->
             left, right = ([np.frombuffer(s, np.uint64) for s in h["shingles"].iloc[at]]
                            for h, at in ((one, rows), (two, columns)))
             if len(rows):
-                both = intersections(left, None if i == j else right)
+                both = intersections(left, None if alone else right)
                 size = [np.array([len(s) for s in d], np.int64) for d in (left, right)]
                 near = (1000 * both >= percent * (size[0][:, None] + size[1][None, :] - both)) & wanted[np.ix_(rows, columns)]
-                columns = columns if i == j else columns + len(one)
+                columns = columns if alone else columns + len(one)
                 linked[np.ix_(rows, columns)] = near
                 linked[np.ix_(columns, rows)] |= near.T
         links, root = linked.sum(axis=1), _roots(linked)

@@ -46,8 +46,9 @@ def brute(rows):
             for r, s in zip(rows, sets)]
 
 
-@pytest.mark.parametrize("block", [128, 4])
-def test_against_brute_force(spark, tmp_path, monkeypatch, block):
+@pytest.mark.parametrize("block, large", [(128, 32), (4, 3)])
+def test_against_brute_force(spark, tmp_path, monkeypatch, block, large):
+    monkeypatch.setattr(forest_join, "LARGE", large)
     clashing(near(spark), ["set_key", "text_key"]).write.parquet(f"{tmp_path}/documents.parquet")
     monkeypatch.setattr(forest_join, "near_duplicates", lambda d, f=forest_join.near_duplicates: f(d, block=block))
     got = forest_join.op2_forest_join(spark, str(tmp_path)).collect()
@@ -121,9 +122,10 @@ def test_each_pair_has_one_node():
             assert owners[i, j] == int(((a == b) & (a != 0)).any())
 
 
-@pytest.mark.parametrize("block", [128, 3])
-def test_loose_chains_and_short_prefixes(spark, tmp_path, monkeypatch, block):
+@pytest.mark.parametrize("block, large", [(128, 32), (3, 2)])
+def test_loose_chains_and_short_prefixes(spark, tmp_path, monkeypatch, block, large):
     """Pairs just over the threshold meet at short prefixes only; chains of passages shared below it stay apart."""
+    monkeypatch.setattr(forest_join, "LARGE", large)
     r, rows = random.Random(11), []
     for g in range(60):
         base = words(200, 900 + g, 10**6).split()
