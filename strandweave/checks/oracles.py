@@ -277,6 +277,27 @@ DUPLICATION_METRICS = with_chain("""SELECT coalesce(library, 'unknown') AS libra
     CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN hi ELSE (lo + hi) / 2 END, it + 1
   FROM solve WHERE it < 60)""").replace("WITH contigs", "WITH RECURSIVE contigs", 1)
 
+_CLUSTERS = [
+  """copies AS (SELECT fid, coalesce(library, 'unknown') library, fid % 5 % 2 tile, fid * 7919 % 4001 x, fid * 104729 % 4003 y, score,
+    concat('m:1:f:1:', 1101 + fid % 5 % 2, ':', fid * 7919 % 4001, ':', fid * 104729 % 4003, '#r', fid) read_name,
+    CASE WHEN fid % 4 = 0 THEN 'hot' ELSE concat(contig_idx, ' ', p1, ' ', p2) END place FROM frags)""",
+  """beside AS (SELECT a.fid a, b.fid b FROM copies a JOIN copies b ON a.library = b.library AND a.place = b.place AND a.tile = b.tile
+    AND abs(a.x - b.x) <= 100 AND abs(a.y - b.y) <= 100)""",
+  "reached AS (SELECT a, b FROM beside UNION SELECT r.a, e.b FROM reached r JOIN beside e ON e.a = r.b)",
+  """judged AS (SELECT c.*, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, read_name) > 1 optical
+    FROM copies c JOIN (SELECT a, min(b) cluster FROM reached GROUP BY a) k ON k.a = c.fid)"""]
+
+OPTICAL_DUPLICATES = with_chain("SELECT library, read_name, optical FROM judged", _FRAGS, *_CLUSTERS).replace("WITH contigs", "WITH RECURSIVE contigs", 1)
+
+OPTICAL_METRICS = with_chain("""SELECT library, pairs, pairs - c AS pair_duplicates, pairs - n AS optical_pair_duplicates,
+  CASE WHEN c < n THEN CAST(round(c * (lo + hi) / 2) AS BIGINT) END AS estimated_library_size FROM solve WHERE it = 60""", _FRAGS, *_CLUSTERS,
+  "per_lib AS (SELECT library, count(*) pairs, count(*) FILTER (NOT optical) n, count(DISTINCT place) c FROM judged GROUP BY library)",
+  """solve AS (SELECT library, pairs, n, c, 1.0::DOUBLE lo, n::DOUBLE * n / (2::DOUBLE * c * greatest(n - c, 1)) + 1 hi, 0 it FROM per_lib
+  UNION ALL SELECT library, pairs, n, c,
+    CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN hi ELSE (lo + hi) / 2 END, it + 1
+  FROM solve WHERE it < 60)""").replace("WITH contigs", "WITH RECURSIVE contigs", 1)
+
 REMOVE_DUPLICATES = with_chain("""SELECT a.read_name, mate, a.contig_idx, pos FROM alignments a JOIN (
   SELECT read_name FROM (SELECT read_name, contig_idx, min(pos) lo, max(ref_end) hi FROM alignments GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY contig_idx, lo, hi ORDER BY read_name) = 1) b ON a.read_name = b.read_name""")

@@ -9,7 +9,7 @@ from .. import model as M
 from ..functions import cigar as C
 from ..functions.bases import phred_string
 from ..functions.scaling import dense_ordinal, scratch_path
-from ..operators import align, annotate, call, chunk, dedup, groom, metrics, multiallelic, normalize, pileup, prepare, realign, recalibrate, rescue, sites
+from ..operators import align, annotate, call, chunk, dedup, groom, metrics, multiallelic, normalize, optical, pileup, prepare, realign, recalibrate, rescue, sites
 from ..operators import reference as ref
 from ..sources import readers, writers
 from . import oracles as O
@@ -384,6 +384,26 @@ def _duplication_metrics(fx):
     return dedup.duplication_metrics(fx.alignments)
 
 
+def _on_flow_cell(fx):
+    """Places in the read names; a quarter of all fragments is one copy group on a contig of its own."""
+    hot = F.expr("fid % 4 = 0")
+    place = F.expr("concat('m:1:f:1:', 1101 + fid % 5 % 2, ':', fid * 7919 % 4001, ':', fid * 104729 % 4003, '#r', fid)")
+    return fx.alignments.withColumns({
+        "read_name": place, "contig_idx": F.when(hot, -1).otherwise(F.col("contig_idx")),
+        "pos": F.when(hot, F.when(F.col("mate") == 1, 1).otherwise(101)).otherwise(F.col("pos")),
+        "cigar": F.when(hot, "50M").otherwise(F.col("cigar"))})
+
+
+@query("optical_duplicates", O.OPTICAL_DUPLICATES)
+def _optical_duplicates(fx):
+    return optical.optical_duplicates(_on_flow_cell(fx))
+
+
+@query("optical_metrics", O.OPTICAL_METRICS)
+def _optical_metrics(fx):
+    return optical.optical_metrics(_on_flow_cell(fx)).select("library", "pairs", "pair_duplicates", "optical_pair_duplicates", "estimated_library_size")
+
+
 @query("remove_duplicates", O.REMOVE_DUPLICATES)
 def _remove_duplicates(fx):
     return dedup.remove_duplicates(fx.alignments).select("read_name", "mate", "contig_idx", "pos")
