@@ -574,6 +574,26 @@ LIBRARY_COMPLEXITY = with_chain("""SELECT set_size, sets, CASE WHEN c < n THEN C
     CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN hi ELSE (lo + hi) / 2 END, it + 1
   FROM solve WHERE it < 60)""").replace("WITH contigs", "WITH RECURSIVE contigs", 1)
 
+MOLECULE_COMPLEXITY = with_chain("""SELECT set_size, sets, CASE WHEN c < n THEN CAST(round(c * (lo + hi) / 2) AS BIGINT) END AS unique_estimate
+  FROM hist CROSS JOIN solve WHERE it = 60""",
+  """planted AS (SELECT fid, mate, CASE WHEN fid % 4 > 0 THEN seq
+    WHEN mate = 1 THEN concat(substr(repeat('ACGTA', 10), 1, fid % 50), substr('ACGT', fid // 50 % 4 + 1, 1), substr(repeat('ACGTA', 10), fid % 50 + 2))
+    WHEN fid % 12 = 0 THEN concat(substr(repeat('GATTC', 10), 1, fid * 7 % 50), 'T', substr(repeat('GATTC', 10), fid * 7 % 50 + 2))
+    ELSE repeat('GATTC', 10) END seq FROM raw_reads)""",
+  """heads AS (SELECT min(l.fid) id, l, r, count(*) n FROM (SELECT fid, seq l FROM planted WHERE mate = 1) l
+  JOIN (SELECT fid, seq r FROM planted WHERE mate = 2) r ON l.fid = r.fid GROUP BY l, r)""",
+  """linked AS (SELECT a.id a, b.id b FROM heads a JOIN heads b ON a.l = b.l AND length(a.r) = length(b.r) WHERE hamming(a.r, b.r) <= 1
+  UNION SELECT a.id, b.id FROM heads a JOIN heads b ON a.r = b.r AND length(a.l) = length(b.l) WHERE hamming(a.l, b.l) <= 1)""",
+  "reached AS (SELECT a, b FROM linked UNION SELECT r.a, e.b FROM reached r JOIN linked e ON e.a = r.b)",
+  "sizes AS (SELECT m, sum(n) set_size FROM heads JOIN (SELECT a, min(b) m FROM reached GROUP BY a) k ON k.a = id GROUP BY m)",
+  "hist AS (SELECT CAST(set_size AS BIGINT) set_size, count(*) sets FROM sizes GROUP BY set_size)",
+  "tot AS (SELECT CAST(sum(set_size * sets) AS BIGINT) n, CAST(sum(sets) AS BIGINT) c FROM hist)",
+  """solve AS (SELECT n, c, 1.0::DOUBLE lo, n::DOUBLE * n / (2::DOUBLE * c * greatest(n - c, 1)) + 1 hi, 0 it FROM tot
+  UNION ALL SELECT n, c,
+    CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN (lo + hi) / 2 * (1 - exp(-n::DOUBLE / ((lo + hi) / 2 * c))) < 1 THEN hi ELSE (lo + hi) / 2 END, it + 1
+  FROM solve WHERE it < 60)""").replace("WITH contigs", "WITH RECURSIVE contigs", 1)
+
 _DEPTH = [
     "cover AS (SELECT contig_idx, rpos pos, count(*) n FROM bases1 WHERE rpos IS NOT NULL GROUP BY ALL)",
     "spots AS (SELECT DISTINCT contig_idx, CAST(unnest(range(start_pos, end_pos + 1)) AS INT) pos FROM targets)",

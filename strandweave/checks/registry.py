@@ -9,7 +9,7 @@ from .. import model as M
 from ..functions import cigar as C
 from ..functions.bases import phred_string
 from ..functions.scaling import dense_ordinal, scratch_path
-from ..operators import align, annotate, call, chunk, dedup, groom, metrics, multiallelic, normalize, optical, pileup, prepare, realign, recalibrate, rescue, sites
+from ..operators import align, annotate, call, chunk, dedup, groom, metrics, molecules, multiallelic, normalize, optical, pileup, prepare, realign, recalibrate, rescue, sites
 from ..operators import reference as ref
 from ..sources import readers, writers
 from . import oracles as O
@@ -622,6 +622,17 @@ def _library_complexity(fx):
     return metrics.library_complexity(prepare.pair_mates(_mate(fx, 1), _mate(fx, 2)))
 
 
+@query("molecule_complexity", O.MOLECULE_COMPLEXITY)
+def _molecule_complexity(fx):
+    """A quarter of all pairs is of one molecule, each with an error of its own; a twelfth has a second one in the other read."""
+    hit = F.expr("concat(substr(molecule, 1, fid % 50), substr('ACGT', fid div 50 % 4 + 1, 1), substr(molecule, fid % 50 + 2))")
+    both = F.expr("concat(substr(molecule, 1, fid * 7 % 50), 'T', substr(molecule, fid * 7 % 50 + 2))")
+    rows = fx.reads.withColumn("molecule", F.when(F.col("mate") == 1, "ACGTA" * 10).otherwise("GATTC" * 10))
+    seq = F.when(F.expr("fid % 4 > 0"), F.col("seq")).when(F.col("mate") == 1, hit).when(F.expr("fid % 12 = 0"), both).otherwise(F.col("molecule"))
+    rows = rows.withColumn("seq", seq).drop("molecule")
+    return molecules.molecule_complexity(prepare.pair_mates(rows.filter("mate = 1"), rows.filter("mate = 2")))
+
+
 @query("depth_of_coverage", O.DEPTH_OF_COVERAGE)
 def _depth_of_coverage(fx):
     return metrics.depth_of_coverage(fx.alignments, fx.targets)
