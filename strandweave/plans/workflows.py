@@ -70,7 +70,7 @@ def call_variants(alignments: DataFrame, blocks: DataFrame, known_ids: DataFrame
     every = pileup.pileup(reads, blocks, 0)
     snps = stored(call.call_snps(pile, options.confidence, options.confidence), "snps")
     snps = annotate.annotate_known_ids(snps, known_ids)
-    snps = annotate.ann_spanning_deletions(annotate.ann_depth(annotate.ann_allele_balance(snps), every), every)
+    snps = annotate.ann_site_counts(annotate.ann_allele_balance(snps), every)
     return {"snps": snps,
             "indels": call.call_indels(reads, blocks, options.min_indel_fraction, options.confidence),
             "caller_metrics": annotate.caller_metrics(every, options.min_base_quality, options.confidence)}

@@ -104,3 +104,15 @@ def test_mates_are_found_by_their_partners(spark):
     got = {x.read_name: (x.mate, x.strand, x.contig_idx, x.pos, x.nm, x.cigar) for x in rescue.rescue_mates(df, placed, blocks, 200, 25, 5).collect()}
     assert got == want and len(want) > 50
     assert rescue.rescue_mates(df, placed.filter("false"), blocks, 200, 25).count() == 0
+
+
+def test_site_counts_are_both_annotations(spark):
+    from strandweave.operators import annotate
+    rows = [(0, p, "*" if (p + k) % 3 == 0 else "A") for p in range(1, 9) for k in range(p)]
+    pile = spark.createDataFrame(rows, "contig_idx int, pos int, base string")
+    calls = spark.createDataFrame([(0, p) for p in (1, 2, 3, 8, 50)], "contig_idx int, pos int")
+    got = annotate.ann_site_counts(calls, pile)
+    want = annotate.ann_spanning_deletions(annotate.ann_depth(calls, pile), pile)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert (0, 50, 0, 0.0) in map(tuple, got.collect()) and (0, 3, 3, round(1 / 3, 6)) in map(tuple, got.collect())
