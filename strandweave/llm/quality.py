@@ -110,10 +110,20 @@ DISTANCE = [*SOLVE, " + ".join(f"y{i} * y{i}" for i in DIM) + " AS d"]
 ESTIMATE = [*[f"m{i}" for i in DIM], *[f"l{i}{j}" for i in DIM for j in range(i + 1)]]
 
 
-def _step_by_step(df: DataFrame, expressions: list[str]) -> DataFrame:
+def _rounds(expressions: list[str]) -> list[dict[str, str]]:
+    """Expressions by name, in as few rounds as there may be: each uses only names of earlier ones."""
+    place, rounds = {}, []
     for e in expressions:
         value, _, name = e.rpartition(" AS ")
-        df = df.withColumn(name, F.expr(value))
+        place[name] = at = 1 + max((place[w] for w in re.findall(r"\w+", value) if w in place), default=-1)
+        rounds += [{}] * (at == len(rounds))
+        rounds[at] = rounds[at] | {name: value}
+    return rounds
+
+
+def _step_by_step(df: DataFrame, expressions: list[str]) -> DataFrame:
+    for added in _rounds(expressions):  # a projection for each round: the driver plans all steps anew
+        df = df.withColumns({name: F.expr(value) for name, value in added.items()})
     return df
 
 
@@ -165,7 +175,8 @@ def _keyed(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = own.select("g", *fs).unionByName(lang.select("g", *fs))
     if not chosen.filter("g = 'all'").isEmpty():
         members = members.unionByName(vectors.select(F.lit("all").alias("g"), *fs))
-    return chosen.select("own", "g"), members
+    # stored, so that each step's plan is a scan, without the joins and unions above
+    return chosen.select("own", "g"), stored(members, "vectors")
 
 
 def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",

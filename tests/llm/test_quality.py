@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandweave.llm import quality
 
@@ -139,3 +140,22 @@ def test_query_and_sql(spark, tmp_path, empty):
     got = [tuple(r) for r in quality.op1_robust_outliers(spark, str(tmp_path)).collect()]
     assert sorted(got, key=repr) == sorted(con.sql(quality.OP1_SQL).fetchall(), key=repr)
     assert math.isfinite(len(got))
+
+
+def test_the_driver_plans_steps_over_a_scan(spark, monkeypatch):
+    given, estimates = [], quality.estimates
+    monkeypatch.setattr(quality, "estimates", lambda vectors: given.append(vectors) or estimates(vectors))
+    quality.assess(docs(spark))
+    plan = given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Union" not in plan  # which every step would plan, and broadcast, again
+
+
+def test_names_are_added_in_few_projections(spark):
+    sums = spark.createDataFrame([tuple(range(40, 40 + len(quality.TOTALS)))], ", ".join(f"{t} long" for t in quality.TOTALS))
+    by_one = sums
+    for e in quality.MEANS + quality.CHOLESKY:
+        value, _, name = e.rpartition(" AS ")
+        by_one = by_one.withColumn(name, F.expr(value))
+    rows = quality._step_by_step(sums, quality.MEANS + quality.CHOLESKY)
+    assert rows.first().asDict() == by_one.first().asDict()
+    assert rows._jdf.queryExecution().analyzed().toString().count("Project [") < 15 < len(quality.CHOLESKY)
