@@ -8,8 +8,9 @@ from ..functions.alleles import trimmed
 from ..functions.bases import bind
 from ..functions.intervals import BIN, coverage_runs, merge_many, overlap_join, semi_overlap
 from ..functions.scaling import cut_lineage
+from . import batches
 from .call import indel_events
-from .pileup import callable_reads, match_ranges, pileup
+from .pileup import callable_reads, match_ranges, origin, pileup
 from .reference import reference_pieces
 
 
@@ -41,13 +42,13 @@ def candidate_indels(df: DataFrame, known_indels: DataFrame | None) -> DataFrame
 def mismatch_clusters(df: DataFrame, blocks: DataFrame, window: int = 10, least: float = 8.0) -> DataFrame:
     """``contig_idx, start, end`` of places with two or more mismatching loci within ``window`` bases.
 
-    The qualities of mismatching bases are summed per locus (only such bases become rows) and then over the window
+    The qualities of mismatching bases are summed per locus (no base becomes a row) and then over the window
     that ends at a locus; a place counts if that sum is at least ``least`` for each read over its last locus. The
     depth comes from runs of equal depth, not from bases. A window is inside a bin of the contig or reaches into the
     next one, which then has its first loci too.
     """
-    wrong = pileup(df, blocks, 0).filter(F.col("base").isin(list("ACGT")) & F.col("ref_base").isin(list("ACGT")) & (F.col("base") != F.col("ref_base")))
-    loci = wrong.groupBy("contig_idx", "pos").agg(F.sum(F.col("q").cast("bigint")).alias("m"))
+    of = origin(pileup(df, blocks, 0))
+    loci = of.summed(["contig_idx"], batches.mismatch_sums(["contig_idx"], of.min_base_quality), ["m"])
     bin_of = lambda p: F.floor((p - 1) / F.lit(BIN)).cast("int")
     spread = F.array_distinct(F.array(bin_of(F.col("pos")), bin_of(F.col("pos") + (window - 1))))
     within = Window.partitionBy("contig_idx", "_bin").orderBy("pos").rangeBetween(1 - window, 0)

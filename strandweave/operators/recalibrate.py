@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from .. import model as M
 from ..functions.bases import base_at, bind, complement, has_flag
 from ..functions.scaling import cut_lineage, lookup_join
-from .pileup import base_rows, callable_reads
+from . import batches
+from .pileup import callable_reads, read_pieces
 from .reference import mask_blocks
 
 LOWEST_QUALITY = 6
@@ -30,7 +31,7 @@ def bqsr_table(df: DataFrame, known_sites: DataFrame, blocks: DataFrame,
 
     Known sites are masked inside the reference blocks, so bases are never
     shuffled: the one wide shuffle brings reads to their blocks, and bases are
-    summed to the finest cells in the same stage. The coarser covariates are
+    summed to the finest cells in the same stage, a batch of reads at once. The coarser covariates are
     grouping sets over those few cells.
     """
     masked = mask_blocks(blocks, known_sites)
@@ -38,22 +39,9 @@ def bqsr_table(df: DataFrame, known_sites: DataFrame, blocks: DataFrame,
     keep = [F.col("read_group.id").alias("read_group"), "seq", "quals", reverse.alias("reverse"),
             F.when(F.col("mate") == 2, -1).otherwise(1).alias("sign"),
             F.when(reverse, F.length("seq")).otherwise(1).alias("c0"), F.when(reverse, -1).otherwise(1).alias("c1")]
-    rows = base_rows(callable_reads(df), masked, keep)
-    # the base with the one sequenced before it, as it stands in the row
-    two = F.substring("seq", F.when(F.col("reverse"), F.col("i") + 1).otherwise(F.col("i")), F.lit(2))
-    rows = rows.filter(F.col("ref_base") != "N").select(
-        "read_group", F.get("quals", F.col("i")).alias("reported_q"),
-        (F.col("c0") + F.col("c1") * F.col("i")).alias("at"), "sign", "reverse", two.alias("two"),
-        base_at(F.col("seq"), F.col("i")).alias("base"), "ref_base")
-    cells = rows.filter(F.col("reported_q") >= min_quality) \
-        .groupBy("read_group", "reported_q", "at", "sign", "reverse", "two", "base") \
-        .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("base") != F.col("ref_base")).cast("bigint")).alias("e"))
-    # strand and sign are turned on the summed cells, not on the bases
-    context = F.when(F.col("reverse"), F.reverse(complement(F.col("two")))).otherwise(F.col("two"))
-    known = (F.col("at") > 1) & F.col("two").rlike("^[ACGT]{2}$")
-    cells = cells.filter(F.col("base").isin("A", "C", "G", "T")).select(
-        "read_group", "reported_q", (F.col("at") * F.col("sign")).alias("cycle"),
-        F.when(known, context).alias("context"), "n", "e")
+    pieces = read_pieces(callable_reads(df), masked, keep)
+    cells = pieces.drop("contig_idx", "op").mapInArrow(
+        batches.error_cells(min_quality), "read_group string, reported_q int, cycle int, context string, n bigint, e bigint")
     g, q, c, x = (F.col(k) for k in ("read_group", "reported_q", "cycle", "context"))
     sets = cells.groupingSets([[g], [g, q], [g, q, c], [g, q, x]], g, q, c, x).agg(
         F.sum("n").alias("observations"), F.sum("e").alias("errors"),
@@ -102,19 +90,37 @@ def _lookup_arrays(table: DataFrame, reach: int) -> DataFrame:
     return by_q.select(F.col("read_group").alias("_rg"), at_q.alias("_steps"))
 
 
+def _few(tables: DataFrame, max_groups: int = 1_000, max_steps: int = 1 << 20) -> tuple[list, list] | None:
+    """Names and steps of the read groups where all of them are small enough to go to every task."""
+    size = F.aggregate("_steps", F.lit(0), lambda t, s: t + F.coalesce(F.size(s["c"]) + F.size(s["x"]), F.lit(0)))
+    rows, steps = tables.limit(max_groups + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    if rows > max_groups or steps > max_steps:
+        return None
+    held = tables.filter("_rg IS NOT NULL").collect()
+    return [r["_rg"] for r in held], [[s and (s["base_q"], s["c"], s["x"]) for s in r["_steps"]] for r in held]
+
+
 def bqsr_apply(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
     """Replaces ``quals``: group, quality, cycle and context steps added up, clamped.
 
     Without a table the rows are copied. Qualities under 6 and cells the table
     has not seen keep their value. The table becomes one row of constant-time
-    arrays per read group, and qualities change by ``transform`` in place: no
-    base is exploded, no read is shuffled while the read groups are few.
+    arrays per read group. While the read groups are few, these go to every task and
+    the qualities of a batch of reads change at once; else they are joined, and
+    qualities change by ``transform`` in place. No base is exploded.
     """
     if table is None:
         return df
     table = cut_lineage(table)
     reach = table.filter("covariate = 'cycle'").agg(F.max(F.abs(F.col("value").cast("int")))).first()[0] or 1
     arrays = cut_lineage(_lookup_arrays(table, reach))
+    few = _few(arrays)
+    if few is not None:
+        groups, steps = few
+        code = F.coalesce(F.array_position(F.lit(groups).cast("array<string>"), F.col("read_group.id")), F.lit(0)).cast("int") - 1
+        fresh = F.arrow_udf(batches.renewed_qualities(steps, reach, LOWEST_QUALITY, HIGHEST_QUALITY), "array<int>")(
+            code, "seq", "quals", has_flag(F.col("flag"), M.REVERSE), F.when(F.col("mate") == 2, -1).otherwise(1))
+        return df.withColumn("quals", fresh)
     rows = lookup_join(df.withColumn("_rg", F.col("read_group.id")), arrays, ["_rg"],
                        ["read_name", "mate"], "left")
     reverse = has_flag(F.col("flag"), M.REVERSE)

@@ -75,7 +75,7 @@ def call_joint(pile: DataFrame, sample: str = "sample", conf: float = 30, theta:
     its likelihood is the mean over all genotypes with k copies, by a dynamic programme over the samples. ``qual`` is
     of no copy at all, ``ac`` the most probable number of copies, ``an`` is 2 n. A null sample is one of its own.
     """
-    sums = locus_sums(pile.withColumn("contig", F.struct("contig", F.col(sample).alias("s"))), 2)
+    sums = locus_sums(pile, 2, by=(sample,)).withColumn("contig", F.struct("contig", F.col(sample).alias("s")))
     sums = sums.filter(F.col("ref_base").isin(list(LETTERS)))
     site = ["contig_idx", "pos", "ref_base"]
     counts = sums.groupBy(*site).agg(*[F.sum(f"n_{b}").alias(f"n_{b}") for b in LETTERS])
