@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bases import MICRO, bind
 from ..functions.intervals import merge_many
+from ..functions.scaling import stored
 from .call import LETTERS, SNP_THETA, locus_sums
 
 
@@ -24,6 +25,7 @@ def reference_runs(sites: DataFrame, contigs: DataFrame, conf: float = 30, width
     own = Window.partitionBy("contig_idx", "_bin", "state").orderBy("pos")
     runs = loci.withColumn("_run", F.col("pos") - F.row_number().over(own)).groupBy("contig_idx", "_bin", "state", "_run").agg(
         F.min("pos").alias("start"), F.max("pos").alias("end")).drop("_run")
+    runs = stored(runs, "reference-runs")  # looked at once a state, and the sites are many times as many
     # what is between the runs of a bin, and after the last; a bin without any is one such stretch
     last = F.floor((F.col("contig_len") - 1) / F.lit(width)).cast("int")
     bins = contigs.filter("contig_len > 0").select("contig_idx", "contig_len", F.explode(F.sequence(F.lit(0), last)).alias("_bin"))
@@ -78,12 +80,12 @@ def call_joint(pile: DataFrame, sample: str = "sample", conf: float = 30, theta:
     sums = locus_sums(pile, 2, by=(sample,)).withColumn("contig", F.struct("contig", F.col(sample).alias("s")))
     sums = sums.filter(F.col("ref_base").isin(list(LETTERS)))
     site = ["contig_idx", "pos", "ref_base"]
-    counts = sums.groupBy(*site).agg(*[F.sum(f"n_{b}").alias(f"n_{b}") for b in LETTERS])
-    others = F.array(*[F.struct(F.when(F.col("ref_base") == b, F.lit(0).cast("bigint")).otherwise(F.col(f"n_{b}")).alias("n"), F.lit(-i).alias("o"))
+    # all samples of a site are in one place: their total stands beside each, without a join
+    whole = Window.partitionBy(*site)
+    totals = sums.withColumns({f"_{b}": F.sum(f"n_{b}").over(whole) for b in LETTERS})
+    others = F.array(*[F.struct(F.when(F.col("ref_base") == b, F.lit(0).cast("bigint")).otherwise(F.col(f"_{b}")).alias("n"), F.lit(-i).alias("o"))
                        for i, b in enumerate(LETTERS)])
-    chosen = counts.withColumn("_o", F.array_max(others)).filter("_o.n > 0").select(
-        *site, F.substring(F.lit(LETTERS), 1 - F.col("_o.o"), F.lit(1)).alias("alt"))
-    rows = sums.join(chosen, site)
+    rows = totals.withColumn("_o", F.array_max(others)).filter("_o.n > 0").withColumn("alt", F.substring(F.lit(LETTERS), 1 - F.col("_o.o"), F.lit(1)))
     pick = lambda k, letter: sum(F.when(F.col(letter) == b, F.col(f"s{k}_{b}")).otherwise(0) for b in LETTERS)
     held = sum(F.when((F.col("ref_base") == b) | (F.col("alt") == b), F.col(f"n_{b}")).otherwise(0) for b in LETTERS)
     rows = rows.select(*site, "alt", "contig.contig", F.col("contig.s").alias("s"), held.alias("dp"),

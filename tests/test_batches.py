@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandweave.functions import arrays
-from strandweave.operators import annotate, batches, call, pileup, recalibrate
+from strandweave.operators import batches, call, pileup, recalibrate
 from strandweave.operators.reference import reference_blocks
 
 
@@ -40,7 +40,7 @@ def test_sums_of_reads_are_sums_of_bases(data, quality):
     assert pileup.origin(pile) is not None and pileup.origin(rows) is None
     for more in ({}, {"every_locus": True}, {"by": ("sample",)}, {"min_base_quality": 25}):
         assert listed(call.locus_sums(pile, 2, **more)) == listed(call.locus_sums(rows, 2, **more))
-    assert listed(annotate._site_counts(pile)) == listed(annotate._site_counts(rows))
+    assert listed(pileup.site_counts(pile)) == listed(pileup.site_counts(rows))
     letters = list("ACGT")
     wrong = rows.filter(F.col("base").isin(letters) & F.col("ref_base").isin(letters) & (F.col("base") != F.col("ref_base")))
     want = wrong.groupBy("contig_idx", "pos").agg(F.sum(F.col("q").cast("bigint")).alias("m"))
@@ -50,7 +50,7 @@ def test_sums_of_reads_are_sums_of_bases(data, quality):
 def test_sums_make_no_row_of_a_base(data):
     plan = lambda df: df._jdf.queryExecution().toString()
     pile = pileup.pileup(*data)
-    for df in (call.locus_sums(pile, 2), annotate._site_counts(pile), recalibrate.bqsr_table(data[0], data[0].select("contig_idx", "pos").limit(3), data[1])):
+    for df in (call.locus_sums(pile, 2), pileup.site_counts(pile), recalibrate.bqsr_table(data[0], data[0].select("contig_idx", "pos").limit(3), data[1])):
         assert "MapInArrow" in plan(df) and "explode(sequence(_lo" not in plan(df)
 
 
@@ -62,6 +62,15 @@ def test_qualities_of_batches_are_those_of_joined_tables(data, monkeypatch):
     assert got == listed(recalibrate.bqsr_apply(df, table).drop("read_group"))
 
 
+@pytest.mark.parametrize("n, quality", [(1, 0), (4, 10), (9, 10)])
+def test_first_bases_of_reads_are_those_of_rows(data, n, quality, monkeypatch):
+    monkeypatch.setattr(batches, "AT_ONCE", 1000)  # several parts, and bins that are thinned while they are gathered
+    pile = pileup.pileup(*data, quality, more=("sample",))
+    got, want = pileup.downsample_coverage(pile, n), pileup.downsample_coverage(pile.filter("true"), n)
+    assert got.dtypes == want.dtypes and listed(got) == listed(want)
+    assert "_salt" not in got._jdf.queryExecution().toString()
+
+
 def test_letters_of_any_alphabet():
     import pyarrow as pa
     column = pa.array(["zz", None, "aß", "", "漢b"])[1:]
